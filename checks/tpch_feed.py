@@ -128,6 +128,12 @@ class Staged:
         return conformed_union(self.offline.filter(condition), self.online.filter(condition))
 
 
+def unstaged(spark: SparkSession, sf_dir: str) -> Staged:
+    """Both feeds without a staging copy, for queries that read them only once or twice."""
+    lines = sale_lines(spark, sf_dir)
+    return Staged(offline_feed(lines), online_feed(lines))
+
+
 def staged(spark: SparkSession, sf_dir: str) -> Staged:
     lines = sale_lines(spark, sf_dir)
     folder = new_folder(spark, "staging")

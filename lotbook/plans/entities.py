@@ -205,6 +205,10 @@ def customer_snapshot(feed: DataFrame, store: Store, known_rows: int | None = No
 def load_customers(
     feed: DataFrame, store: Store, load_dt: dt.date, known_rows: int | None = None
 ) -> dict[str, int]:
+    """Type-2 load of the customers; only the tracked attributes open a new version."""
+    if known_rows is None:
+        feed = save(profile(feed, CUSTOMERS.inputs), "profile")
+        known_rows = feed.count()
     snapshot = customer_snapshot(feed, store, known_rows)
     return scd2_merge(store, CUSTOMERS.table, snapshot, CUSTOMER_TRACKED, load_dt, known_rows)
 
