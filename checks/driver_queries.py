@@ -12,13 +12,13 @@ from checks import tpch_feed as tf
 from lotbook.functions.casts import is_date_reject, safe_date, safe_number, safe_year
 from lotbook.functions.text import attribute, joined, key_part, person_name, prefixed
 from lotbook.operators import quality
-from lotbook.operators.audit import audited, log_history
+from lotbook.operators.audit import AuditLog, log_history
 from lotbook.operators.measures import MONEY
 from lotbook.operators.periods import DEFAULT_PERIODS, Period
 from lotbook.operators.scd2 import conflicting_keys
 from lotbook.operators.upsert import upsert_type1
 from lotbook.plans import dimensions, entities, sales
-from lotbook.plans.warehouse import load_entity_tables, load_dimensions
+from lotbook.plans.warehouse import EntityLayer, load_dimensions
 from lotbook.sources.feeds import CANONICAL, LINEAGE, OFFLINE, is_offline, read_csv
 from lotbook.sources.scratch import new_folder
 from lotbook.sources.store import Store
@@ -225,13 +225,15 @@ def dim_upsert_type1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _entities(spark: SparkSession, sf_dir: str) -> tuple[Store, tf.Staged]:
     store, staged = Store.temporary(spark), tf.staged(spark, sf_dir)
-    load_entity_tables(staged.feed, store, tf.LOAD_DT, tf.CALENDAR)
+    EntityLayer(staged.feed, store, tf.LOAD_DT).load_tables(tf.CALENDAR)
     return store, staged
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> Store:
-    store, staged = _entities(spark, sf_dir)
-    sales.load_sales(staged.feed, store, tf.LOAD_DT)
+    store = Store.temporary(spark)
+    layer = EntityLayer(tf.staged(spark, sf_dir).feed, store, tf.LOAD_DT)
+    layer.load_tables(tf.CALENDAR)
+    layer.load_sales()
     return store
 
 
@@ -290,11 +292,12 @@ def log_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of the dealers and a failed one, as their log rows tell."""
     store = Store.temporary(spark)
     feed = tf.unstaged(spark, sf_dir).feed
+    log = AuditLog(store)
     for _ in range(2):
-        with audited(store, "LOAD_CE_DEALERS") as note:
+        with log.loading("LOAD_CE_DEALERS") as note:
             note.report("dealers", entities.load_entity(feed, store, entities.DEALERS, tf.LOAD_DT))
     try:
-        with audited(store, "LOAD_CE_DEALERS"):
+        with log.loading("LOAD_CE_DEALERS"):
             raise RuntimeError("the feed is gone")
     except RuntimeError:
         pass

@@ -10,6 +10,9 @@ NOT_AVAILABLE = "n. a."
 NOT_AVAILABLE_IN_KEY = "N. A."
 
 
+CLEAN_SQL = "upper(trim({}))"
+
+
 def clean(text: Column) -> Column:
     """Upper-case without surrounding spaces (spaces only, other white space stays)."""
     return F.upper(F.trim(text))

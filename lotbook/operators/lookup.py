@@ -91,8 +91,8 @@ def resolve(
     known_rows: int | None = None, default: int | None = DEFAULT_ID,
 ) -> DataFrame:
     """Add ``id_col`` by looking a natural key up; unmatched rows get the default member."""
-    side = lookup.select(F.col(lookup_key).alias("_key"), id_col)
-    found = lookup_join(rows.withColumn("_key", natural_key), side, ["_key"], known_rows=known_rows).drop("_key")
-    if default is None:
-        return found
-    return found.withColumn(id_col, F.coalesce(F.col(id_col), F.lit(default).cast("bigint")))
+    side = lookup.select(F.col(lookup_key).alias("_key"), F.col(id_col).alias("_id"))
+    keyed = rows.select("*", natural_key.alias("_key"))
+    found = lookup_join(keyed, side, ["_key"], known_rows=known_rows)
+    value = F.col("_id") if default is None else F.coalesce(F.col("_id"), F.lit(default).cast("bigint"))
+    return found.select(*rows.columns, value.alias(id_col))

@@ -33,7 +33,7 @@ def is_small(known_rows: int | None) -> bool:
 def number_small(rows: DataFrame, id_col: str, order_by: Sequence[str], start: int = 1) -> DataFrame:
     """Number a frame whose row count is known to be small; nothing is written or counted."""
     keys = [F.col(k).asc() for k in order_by]
-    placed = rows.repartition(1).sortWithinPartitions(*keys)
+    placed = rows.coalesce(1).sortWithinPartitions(*keys)
     return placed.withColumn(id_col, F.monotonically_increasing_id() + F.lit(start).cast("bigint"))
 
 
@@ -50,7 +50,7 @@ def assign_surrogate(
     never NULL, such as kinds of change or periods. ``known_rows`` is an upper bound of the rows, if known.
     """
     keys = [F.col(k).asc() for k in [*within, *order_by]]
-    parts = rows.repartition(1) if is_small(known_rows) else rows.repartitionByRange(*keys)
+    parts = rows.coalesce(1) if is_small(known_rows) else rows.repartitionByRange(*keys)
     placed = parts.sortWithinPartitions(*keys).withColumn("_position", F.monotonically_increasing_id())
     saved = save(placed, "numbered").withColumn("_slot", F.shiftright("_position", _POSITION_BITS))
     runs = (

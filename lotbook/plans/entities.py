@@ -19,7 +19,7 @@ from lotbook.operators.merge import union_with_priority
 from lotbook.operators.scd2 import one_row_per_key, scd2_merge
 from lotbook.schemas import TABLES
 from lotbook.sources.feeds import FEED_SYSTEMS, LINEAGE
-from lotbook.sources.scratch import save
+from lotbook.sources.scratch import save, save_counted
 from lotbook.sources.store import Store
 
 Expression = Callable[[], Column]
@@ -155,17 +155,24 @@ def resolve_entity(rows: DataFrame, store: Store, entity: Entity, *, active_only
                    known_rows=store.rows(entity.table), default=default)
 
 
+def with_parents(rows: DataFrame, store: Store, entity: Entity) -> DataFrame:
+    """Resolve the parents of an entity, unless the rows already carry the id of the nearest one."""
+    if entity.parents and TABLES[entity.parents[-1].table].id_col not in rows.columns:
+        for parent in entity.parents:
+            rows = resolve_entity(rows, store, parent)
+    return rows
+
+
 def to_load(feed: DataFrame, store: Store, entity: Entity, known_rows: int | None = None) -> DataFrame:
     """Candidates of an entity: natural key, attributes and lineage, online rows only where offline has none.
 
-    ``feed`` is the conformed feed or any frame with the entity's input columns, such as a profile;
-    ``known_rows`` an upper bound of its distinct rows.
+    ``feed`` is the conformed feed or any frame with the entity's input columns, such as a profile, with or
+    without the parent's id; ``known_rows`` an upper bound of its distinct rows.
     """
     spec = TABLES[entity.table]
-    rows = profile(feed, entity.inputs)
-    for parent in entity.parents:
-        rows = resolve_entity(rows, store, parent)
-    rows = rows.withColumn("_key", entity.key())
+    parent_id = [TABLES[p.table].id_col for p in entity.parents[-1:]]
+    rows = profile(feed, [*entity.inputs, *[c for c in parent_id if c in feed.columns]])
+    rows = with_parents(rows, store, entity).withColumn("_key", entity.key())
     candidates = rows.filter(entity.qualifies()).select(
         "_key", *[value().alias(name) for name, value in entity.attributes.items()], *LINEAGE
     )
@@ -179,20 +186,32 @@ def load_entity(
 ) -> dict[str, int]:
     """Insert-only load of one entity."""
     if known_rows is None:
-        feed = save(profile(feed, entity.inputs), "profile")
-        known_rows = feed.count()
+        feed, known_rows = save_counted(with_parents(profile(feed, entity.inputs), store, entity), "profile")
     candidates = to_load(feed, store, entity, known_rows)
     return load_insert_only(store, entity.table, candidates, load_dt, known_rows)
 
 
+def add_ids(rows: DataFrame, store: Store, entity: Entity) -> DataFrame:
+    """The rows of a profile with the id of one more level, written so that later levels build on it."""
+    return save(resolve_entity(rows, store, entity), "resolved")
+
+
 def load_hierarchy(
     feed: DataFrame, store: Store, levels: Sequence[Entity], load_dt: dt.date, known_rows: int | None = None
 ) -> dict[str, dict[str, int]]:
-    """Load levels from the top down; each finds its parents among the levels before it."""
+    """Load levels from the top down; each finds its parents among the levels before it.
+
+    Every level is looked up once: its ids stay with the rows for the next level.
+    """
+    rows = feed
     if known_rows is None:
-        feed = save(profile(feed, levels[-1].inputs), "profile")
-        known_rows = feed.count()
-    return {level.table: load_entity(feed, store, level, load_dt, known_rows) for level in levels}
+        rows, known_rows = save_counted(profile(feed, levels[-1].inputs), "profile")
+    done = {}
+    for level in levels:
+        done[level.table] = load_entity(rows, store, level, load_dt, known_rows)
+        if level is not levels[-1]:
+            rows = add_ids(rows, store, level)
+    return done
 
 
 def customer_snapshot(feed: DataFrame, store: Store, known_rows: int | None = None) -> DataFrame:
@@ -207,8 +226,7 @@ def load_customers(
 ) -> dict[str, int]:
     """Type-2 load of the customers; only the tracked attributes open a new version."""
     if known_rows is None:
-        feed = save(profile(feed, CUSTOMERS.inputs), "profile")
-        known_rows = feed.count()
+        feed, known_rows = save_counted(with_parents(profile(feed, CUSTOMERS.inputs), store, CUSTOMERS), "profile")
     snapshot = customer_snapshot(feed, store, known_rows)
     return scd2_merge(store, CUSTOMERS.table, snapshot, CUSTOMER_TRACKED, load_dt, known_rows)
 

@@ -19,7 +19,7 @@ from lotbook.operators.surrogate import assign_surrogate
 from lotbook.plans import entities as e
 from lotbook.schemas import DEFAULT_ID, TABLES
 from lotbook.sources.feeds import LINEAGE, OFFLINE, ONLINE, is_offline
-from lotbook.sources.scratch import save
+from lotbook.sources.scratch import save_counted
 from lotbook.sources.store import Store
 
 # What decides a customer: the lookup chain over it runs once per distinct value, not once per sale.
@@ -37,13 +37,14 @@ _MEASURES = {
 SALE_ORDER = ("date_id", "sale_src_id", "source_id", *[c for c in _SALE_IDS if c != "date_id"], *_MEASURES)
 
 
-def customer_ids(feed: DataFrame, store: Store) -> DataFrame:
-    """Customer id per distinct customer path of the feed, -1 where no active customer has that key."""
-    paths = feed.select(*CUSTOMER_PATH).distinct()
-    for parent in e.CUSTOMERS.parents:
-        paths = e.resolve_entity(paths, store, parent)
-    paths = e.resolve_entity(paths, store, e.CUSTOMERS, active_only=True)
-    return paths.select(*CUSTOMER_PATH, "customer_id")
+def customer_ids(people: DataFrame, store: Store) -> DataFrame:
+    """Customer id per distinct customer path, -1 where no active customer has that key.
+
+    ``people`` is the feed, or a customer profile of it that may already have the address ids.
+    """
+    known = ["address_id"] if "address_id" in people.columns else []
+    paths = e.with_parents(people.select(*CUSTOMER_PATH, *known).distinct(), store, e.CUSTOMERS)
+    return e.resolve_entity(paths, store, e.CUSTOMERS, active_only=True).select(*CUSTOMER_PATH, "customer_id")
 
 
 def _sale_keys() -> list[Column]:
@@ -71,10 +72,13 @@ def sale_rows(feed: DataFrame, slash_format: str = "MM/dd/yyyy") -> DataFrame:
     )
 
 
-def sales_to_load(feed: DataFrame, store: Store, slash_format: str = "MM/dd/yyyy") -> DataFrame:
+def sales_to_load(
+    feed: DataFrame, store: Store, slash_format: str = "MM/dd/yyyy", people: DataFrame | None = None
+) -> DataFrame:
     """Distinct sales with all seven references resolved, without sales already loaded.
 
-    An online sale is left out if the offline feed has its id. An employee id with two spellings of the name
+    ``people`` is a customer profile of the feed, if one is at hand. An online sale is left out if the offline
+    feed has its id. An employee id with two spellings of the name
     gives one row per spelling.
     """
     sales = sale_rows(feed, slash_format)
@@ -91,8 +95,7 @@ def sales_to_load(feed: DataFrame, store: Store, slash_format: str = "MM/dd/yyyy
                     known_rows=store.rows("ce_dates")).drop("_date")
 
     # The chain of six lookups runs on the distinct customer paths; a sale needs one join.
-    customers = save(customer_ids(feed, store), "customer-ids")
-    paths = customers.count()
+    customers, paths = save_counted(customer_ids(feed if people is None else people, store), "customer-ids")
     if paths > BROADCAST_ROWS:
         sales = sales.distinct()  # copies of a sale collapse before the rows are shuffled by their keys
     sales = lookup_join(sales, customers, list(CUSTOMER_PATH), null_safe=True, known_rows=paths,
@@ -108,8 +111,11 @@ def sales_to_load(feed: DataFrame, store: Store, slash_format: str = "MM/dd/yyyy
     return fresh.select("sale_src_id", "source_id", *_SALE_IDS, *_MEASURES, *LINEAGE)
 
 
-def load_sales(feed: DataFrame, store: Store, load_dt: dt.date, slash_format: str = "MM/dd/yyyy"):
-    fresh = sales_to_load(feed, store, slash_format)
+def load_sales(
+    feed: DataFrame, store: Store, load_dt: dt.date, slash_format: str = "MM/dd/yyyy",
+    people: DataFrame | None = None,
+) -> dict[str, int]:
+    fresh = sales_to_load(feed, store, slash_format, people)
     numbered = assign_surrogate(fresh, "sale_id", SALE_ORDER, start=next_id(store, "ce_sales"))
     if numbered.total:
         before = store.rows("ce_sales")

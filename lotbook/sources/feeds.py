@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotbook.functions.text import clean
+from lotbook.functions.text import CLEAN_SQL
 
 # Canonical column -> column of the feed, in the column order of the feed files.
 _OFFLINE_COLUMNS = {
@@ -106,16 +106,16 @@ def conform(staged: DataFrame, feed: Feed) -> DataFrame:
     The sale date stays as it came: its shape is tested on the untrimmed text.
     """
 
-    def canonical(name: str) -> Column:
+    def canonical(name: str) -> str:
         if name not in feed.columns:
-            return F.lit(None).cast("string")
-        raw = F.col(feed.columns[name])
-        return raw if name == "sale_date" else clean(raw)
-
-    return staged.select(
-        *[canonical(name).alias(name) for name in CANONICAL],
-        F.lit(feed.system).alias("source_system"),
-        F.lit(feed.entity).alias("source_entity"),
+            return f"CAST(NULL AS STRING) AS `{name}`"
+        raw = f"`{feed.columns[name]}`"
+        return f"{raw} AS `{name}`" if name == "sale_date" else f"{CLEAN_SQL.format(raw)} AS `{name}`"
+
+    return staged.selectExpr(
+        *[canonical(name) for name in CANONICAL],
+        f"'{feed.system}' AS source_system",
+        f"'{feed.entity}' AS source_entity",
     )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -35,3 +36,10 @@ def save(df: DataFrame, label: str = "saved") -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def save_counted(df: DataFrame, label: str = "saved") -> tuple[DataFrame, int]:
+    """Like :func:`save`, with the number of rows as the writing job saw it."""
+    seen = Observation()
+    saved = save(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return saved, seen.get["n"]
