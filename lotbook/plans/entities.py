@@ -181,14 +181,16 @@ def to_load(feed: DataFrame, store: Store, entity: Entity, known_rows: int | Non
     return merged.select(stored, *entity.attributes, *LINEAGE).distinct()
 
 
-def load_entity(
-    feed: DataFrame, store: Store, entity: Entity, load_dt: dt.date, known_rows: int | None = None
-) -> dict[str, int]:
-    """Insert-only load of one entity."""
-    if known_rows is None:
-        feed, known_rows = save_counted(with_parents(profile(feed, entity.inputs), store, entity), "profile")
-    candidates = to_load(feed, store, entity, known_rows)
-    return load_insert_only(store, entity.table, candidates, load_dt, known_rows)
+def load_entity(feed: DataFrame, store: Store, entity: Entity, load_dt: dt.date) -> dict[str, int]:
+    """Insert-only load of one entity.
+
+    The distinct values it needs are written and counted first: the rest of the load works on them alone, and
+    their number decides how.
+    """
+    parent_id = [TABLES[p.table].id_col for p in entity.parents[-1:]]
+    known = [c for c in parent_id if c in feed.columns]
+    rows, count = save_counted(with_parents(profile(feed, [*entity.inputs, *known]), store, entity), "profile")
+    return load_insert_only(store, entity.table, to_load(rows, store, entity, count), load_dt, count)
 
 
 def add_ids(rows: DataFrame, store: Store, entity: Entity) -> DataFrame:
@@ -197,18 +199,16 @@ def add_ids(rows: DataFrame, store: Store, entity: Entity) -> DataFrame:
 
 
 def load_hierarchy(
-    feed: DataFrame, store: Store, levels: Sequence[Entity], load_dt: dt.date, known_rows: int | None = None
+    feed: DataFrame, store: Store, levels: Sequence[Entity], load_dt: dt.date
 ) -> dict[str, dict[str, int]]:
     """Load levels from the top down; each finds its parents among the levels before it.
 
     Every level is looked up once: its ids stay with the rows for the next level.
     """
-    rows = feed
-    if known_rows is None:
-        rows, known_rows = save_counted(profile(feed, levels[-1].inputs), "profile")
+    rows = save(profile(feed, levels[-1].inputs), "profile") if len(levels) > 1 else feed
     done = {}
     for level in levels:
-        done[level.table] = load_entity(rows, store, level, load_dt, known_rows)
+        done[level.table] = load_entity(rows, store, level, load_dt)
         if level is not levels[-1]:
             rows = add_ids(rows, store, level)
     return done
@@ -221,14 +221,12 @@ def customer_snapshot(feed: DataFrame, store: Store, known_rows: int | None = No
     return one_row_per_key(to_load(feed, store, CUSTOMERS, known_rows), "customer_src_id", order)
 
 
-def load_customers(
-    feed: DataFrame, store: Store, load_dt: dt.date, known_rows: int | None = None
-) -> dict[str, int]:
+def load_customers(feed: DataFrame, store: Store, load_dt: dt.date) -> dict[str, int]:
     """Type-2 load of the customers; only the tracked attributes open a new version."""
-    if known_rows is None:
-        feed, known_rows = save_counted(with_parents(profile(feed, CUSTOMERS.inputs), store, CUSTOMERS), "profile")
-    snapshot = customer_snapshot(feed, store, known_rows)
-    return scd2_merge(store, CUSTOMERS.table, snapshot, CUSTOMER_TRACKED, load_dt, known_rows)
+    known = [c for c in ("address_id",) if c in feed.columns]
+    rows, count = save_counted(with_parents(profile(feed, [*CUSTOMERS.inputs, *known]), store, CUSTOMERS), "profile")
+    snapshot = customer_snapshot(rows, store, count)
+    return scd2_merge(store, CUSTOMERS.table, snapshot, CUSTOMER_TRACKED, load_dt, count)
 
 
 def load_dates(
