@@ -17,6 +17,7 @@ from lotbook.operators.insert_only import append_new, load_insert_only, not_in_t
 from lotbook.operators.lookup import resolve
 from lotbook.operators.merge import union_with_priority
 from lotbook.operators.scd2 import one_row_per_key, scd2_merge
+from lotbook.operators.surrogate import is_small
 from lotbook.schemas import TABLES
 from lotbook.sources.feeds import FEED_SYSTEMS, LINEAGE
 from lotbook.sources.scratch import save, save_counted
@@ -181,16 +182,20 @@ def to_load(feed: DataFrame, store: Store, entity: Entity, known_rows: int | Non
     return merged.select(stored, *entity.attributes, *LINEAGE).distinct()
 
 
-def load_entity(feed: DataFrame, store: Store, entity: Entity, load_dt: dt.date) -> dict[str, int]:
+def load_entity(
+    feed: DataFrame, store: Store, entity: Entity, load_dt: dt.date, known_rows: int | None = None
+) -> dict[str, int]:
     """Insert-only load of one entity.
 
-    The distinct values it needs are written and counted first: the rest of the load works on them alone, and
-    their number decides how.
+    Unless ``feed`` is known to be small, the distinct values the entity needs are written and counted first:
+    the rest of the load works on them alone, and their number decides how.
     """
-    parent_id = [TABLES[p.table].id_col for p in entity.parents[-1:]]
-    known = [c for c in parent_id if c in feed.columns]
-    rows, count = save_counted(with_parents(profile(feed, [*entity.inputs, *known]), store, entity), "profile")
-    return load_insert_only(store, entity.table, to_load(rows, store, entity, count), load_dt, count)
+    if not is_small(known_rows):
+        parent_id = [TABLES[p.table].id_col for p in entity.parents[-1:]]
+        known = [c for c in parent_id if c in feed.columns]
+        rows = with_parents(profile(feed, [*entity.inputs, *known]), store, entity)
+        feed, known_rows = save_counted(rows, "profile")
+    return load_insert_only(store, entity.table, to_load(feed, store, entity, known_rows), load_dt, known_rows)
 
 
 def add_ids(rows: DataFrame, store: Store, entity: Entity) -> DataFrame:
@@ -205,10 +210,10 @@ def load_hierarchy(
 
     Every level is looked up once: its ids stay with the rows for the next level.
     """
-    rows = save(profile(feed, levels[-1].inputs), "profile") if len(levels) > 1 else feed
+    rows, count = save_counted(profile(feed, levels[-1].inputs), "profile")
     done = {}
     for level in levels:
-        done[level.table] = load_entity(rows, store, level, load_dt)
+        done[level.table] = load_entity(rows, store, level, load_dt, count)
         if level is not levels[-1]:
             rows = add_ids(rows, store, level)
     return done

@@ -1,6 +1,8 @@
 """The physical plans of the hot paths."""
 
+import contextlib
 import datetime as dt
+import io
 import re
 
 import pytest
@@ -20,7 +22,10 @@ def plan(df):
 
 def scanned(df):
     """Columns of every file scan in the plan."""
-    text = df._jdf.queryExecution().explainString(df._sc._jvm.PythonSQLUtils.toExplainMode("formatted"))
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    text = out.getvalue()
     return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
 
 
