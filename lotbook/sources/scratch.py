@@ -2,39 +2,37 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir``; where it is unset, a folder in the warehouse directory.
 
-    Only a local-mode session (tests) may go without it and gets a temporary folder of its own.
+    Both are folders that every executor reaches; no machine-local temporary folder is used.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="lotbook-")
-    return _LOCAL_FOLDERS[app]
+    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the scratch folder, which is removed when the session's JVM ends in good order."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Only paths that exist are taken note of.
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
 
 
 def save(df: DataFrame, label: str = "saved") -> DataFrame:
     """Write once and return the written table, so later steps do not recompute its lineage."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.mode("append").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
