@@ -9,10 +9,25 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotbook.llm import mixing, near_duplicates, packing, quality_model, surrogates
+from lotbook.llm import (
+    main_text,
+    mixing,
+    near_duplicates,
+    packing,
+    prefix_forest,
+    quality_model,
+    quality_rules,
+    surrogates,
+    url_filter,
+    warc,
+)
 
 SURROGATE_KEY = "demonstration key"  # a real run names its own secret
 SOURCE_WEIGHTS = (3, 1, 2)
+#: (verdict, host, path) of the URL rules, and the words in a host that put its pages' URLs on the list.
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+             ("allow", "org", "/fr/"))
+LISTED_HOSTS = "casino|spam|adult"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +46,36 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.apply_rules(docs, labels.filter("quality = 1"), keep=["doc_id"])
+
+
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as response records, and for each its metadata and its conversion record."""
+    found = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")), keep=["page_id"])
+    headers = F.col("headers")
+    return found.select(
+        "page_id", F.col("type").alias("warc_type"), "record_id", headers["WARC-Refers-To"].alias("refers_to"),
+        "target_uri", "date", "content_type", headers["WARC-Source-Payload-Digest"].alias("source_payload_digest"),
+        headers["WARC-Source-Block-Digest"].alias("source_block_digest"),
+        headers["WARC-Block-Digest"].alias("block_digest"), F.length("block").cast("long").alias("n_bytes"),
+        F.col("block").cast("string").alias("block"))
+
+
+def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return surrogates.replace_personal_data(docs, SURROGATE_KEY, keep=["doc_id", "text"])
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_model.fit(docs, labels, metadata=("n_chars",))
@@ -45,14 +85,46 @@ def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the URLs of pages whose host holds one of the listed words."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.filter(url_filter.host(F.col("url")).rlike(LISTED_HOSTS)).select("url")
+    return url_filter.judge(pages, URL_RULES, listed, keep=["page_id"])
+
+
+OP9_SQL = f"""
+WITH parts AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+canon AS (
+  SELECT *, CASE WHEN host <> '' THEN
+    regexp_replace(host, '^(?:www|m)[.]', '') || regexp_replace(path, '/+$', '') END AS url FROM parts),
+listed AS (SELECT DISTINCT url FROM canon WHERE regexp_matches(host, '{LISTED_HOSTS}')),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM canon)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN listed.url IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN listed USING (url)
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mixing, op2_near_duplicates, op6_surrogates, op8_quality_model, op10_packing)}
+        op1_mixing, op2_near_duplicates, op3_quality_rules, op4_warc_derivatives, op5_prefix_forest, op6_surrogates,
+        op7_main_text, op8_quality_model, op9_url_filter, op10_packing)}
 
 
 def llm_statements() -> dict[str, str]:
-    return {}
+    return {"op9_url_filter": OP9_SQL}
