@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -13,7 +14,7 @@ from lotbook.sources.store import Store  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]").appName("tests")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CORES', '8')}]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
