@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotbook.llm.text_arrays import numbered
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|math|iframe|object|textarea|title|select|canvas|audio|video)\b[^>]*>"
@@ -344,17 +346,16 @@ def main_text(pages: DataFrame, html_col: str = "html", *, text_col: str = "text
     new = {text_col.lower(), length_col.lower()}
     keep = [c for c in (pages.columns if keep is None else keep)
             if c.lower() not in new and (keep is not None or c.lower() != html_col.lower())]
-    source = pages.select(*keep, F.col(html_col).cast("string").alias("_html"))
-    schema = T.StructType([*[source.schema[c] for c in keep], T.StructField(text_col, T.StringType()),
+    schema = T.StructType([*[pages.schema[c] for c in keep], T.StructField(text_col, T.StringType()),
                            T.StructField(length_col, T.LongType())])
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = [extract(page.as_py()) for page in part.column("_html")]
+                texts = [extract(page.as_py()) for page in part.column("html")]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in keep], pa.array(texts, pa.string()),
-                     pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
+                    [*part.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                    names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return pages.select(*numbered(keep), F.col(html_col).cast("string").alias("html")).mapInArrow(run, schema)

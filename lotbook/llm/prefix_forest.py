@@ -138,6 +138,7 @@ def _visit(index: DataFrame, visits: DataFrame, k: int, n_queries: int) -> DataF
     needed = visits.select("tree", "block", "salt").distinct()
     entries = index.join(needed, ["tree", "block"])
     keys = ["tree", "block", "salt"]
+    visits = visits.select([F.col(c).alias(c) for c in visits.columns])  # attributes apart from those in ``needed``
     return entries.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(_compare(k), _FOUND)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotbook.llm.text_arrays import HASH_BITS as WORD_BITS
-from lotbook.llm.text_arrays import LOWER, Texts, distinct, sliced, windows
+from lotbook.llm.text_arrays import LOWER, Texts, distinct, numbered, sliced, windows
 
 HASH_BITS = 14
 RANK = 8
@@ -203,10 +203,9 @@ def fit(
     n_features = (1 << hash_bits) + len(STATISTICS) + len(metadata)
     draw = np.random.default_rng(seed)
     weights, factors = np.zeros(n_features), draw.normal(0, 0.05, (n_features, rank))
-    model = Model(0.0, weights, factors, hash_bits, tuple(metadata))
     n = len(label)
     if not n:
-        return model
+        return Model(0.0, weights, np.zeros_like(factors), hash_bits, tuple(metadata))
     share = np.clip(label.mean(), 1e-3, 1 - 1e-3)
     bias = float(np.log(share / (1 - share)))
     if label.min() == label.max():
@@ -250,25 +249,20 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: s
     shared = spark.sparkContext.broadcast(model)
     width = len(model.metadata)
     keep = docs.columns if keep is None else list(keep)
-    packed = docs.select(*keep, F.struct(F.col(text_col).cast("string").alias("text"),
-                                         _metadata_column(docs, model.metadata).alias("meta")).alias("_input"))
     kept = [c for c in keep if c.lower() != score_col.lower()]
-    schema = T.StructType([*[packed.schema[c] for c in kept], T.StructField(score_col, T.DoubleType())])
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(score_col, T.DoubleType())])
 
     def run(batches):
         machine = shared.value
         for batch in batches:
-            source = batch.column("_input")
-            flat = pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], source.field("text"), source.field("meta")],
-                names=[*[f"k{i}" for i in range(len(kept))], "text", "meta"])
-            for part in sliced(flat, "text"):
+            for part in sliced(batch, "text"):
                 n = part.num_rows
                 rows, ids, values = features(Texts(part.column("text")), _matrix(part.column("meta"), n, width),
                                              machine.hash_bits)
                 raw = machine.raw(rows, ids, values, n)
                 chance = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], pa.array(chance)],
-                                                 names=[*kept, score_col])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(chance)], names=schema.names)
 
-    return packed.select(*kept, "_input").mapInArrow(run, schema)
+    return docs.select(
+        *numbered(kept), F.col(text_col).cast("string").alias("text"),
+        _metadata_column(docs, model.metadata).alias("meta")).mapInArrow(run, schema)

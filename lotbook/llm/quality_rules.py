@@ -148,5 +148,4 @@ def apply_rules(
 
         return work
 
-    plain = docs.select(*[F.col(c).cast("string").alias(c) if c == text_col else c for c in docs.columns])
-    return per_text(plain, text_col, fields, compute, docs.columns if keep is None else keep)
+    return per_text(docs, text_col, fields, compute, docs.columns if keep is None else keep)

@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -187,19 +188,20 @@ def per_text(
     names = {f.name.lower() for f in fields}
     kept = [c for c in keep if c.lower() not in names]
     schema = T.StructType([*[df.schema[c] for c in kept], *fields])
-    source = "_text" if column in kept else column
-    picked = df.select(*kept, df[column].alias(source)) if column in kept else df.select(*kept, column)
     types = [f.type for f in to_arrow_schema(T.StructType(list(fields)))]
 
     def run(batches):
         work = compute()
         for batch in batches:
-            for part in sliced(batch, source):
-                new = work(part.column(source))
+            for part in sliced(batch, "text"):
+                new = work(part.column("text"))
                 new = [a if isinstance(a, pa.Array) else pa.array(a) for a in new]
                 new = [a if a.type == t else a.cast(t) for a, t in zip(new, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in kept], *new], names=[*kept, *[f.name for f in fields]]
-                )
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=schema.names)
 
-    return picked.mapInArrow(run, schema)
+    return df.select(*numbered(kept), df[column].cast("string").alias("text")).mapInArrow(run, schema)
+
+
+def numbered(columns: Sequence[str]) -> list[Column]:
+    """Columns under names of their place, so that names of the input cannot clash with those of a step."""
+    return [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(columns)]
