@@ -18,9 +18,10 @@ from lotbook.operators.periods import DEFAULT_PERIODS, Period
 from lotbook.operators.scd2 import conflicting_keys
 from lotbook.operators.upsert import upsert_type1
 from lotbook.plans import dimensions, entities, sales
-from lotbook.plans.warehouse import EntityLayer, load_dimensions
-from lotbook.sources.feeds import CANONICAL, LINEAGE, OFFLINE, is_offline, read_csv
-from lotbook.sources.scratch import new_folder
+from lotbook.plans.warehouse import EntityLayer, load_dimensions, run_warehouse
+from lotbook.sources.feeds import CANONICAL, LINEAGE, OFFLINE, ONLINE, Feed, is_offline, read_csv
+from lotbook.sources.feeds import csv_rejects as read_rejects
+from lotbook.sources.scratch import new_folder, save
 from lotbook.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,18 +30,36 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---- feeds and scalar rules --------------------------------------------------------------------------------
 
 
+def _csv_round_trip(spark: SparkSession, rows: DataFrame, feed: Feed) -> DataFrame:
+    folder = new_folder(spark, "csv")
+    rows.drop("order_day").write.mode("overwrite").options(
+        sep=";", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(folder)
+    return read_csv(spark, folder, feed)
+
+
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The offline feed written as delimited text and scanned back."""
+    return _csv_round_trip(spark, tf.offline_feed(tf.sale_lines(spark, sf_dir)), OFFLINE)
+
+
+def csv_scan_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The online feed written as delimited text and scanned back."""
+    return _csv_round_trip(spark, tf.online_feed(tf.sale_lines(spark, sf_dir)), ONLINE)
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the offline feed, some of them broken: sound records and rejects by kind."""
     folder = new_folder(spark, "csv")
     rows = tf.offline_feed(tf.sale_lines(spark, sf_dir)).drop("order_day")
-    rows.write.options(
-        sep=";", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(folder)
-    return read_csv(spark, folder, OFFLINE)
+    tf.csv_lines(rows).write.mode("overwrite").text(folder)
+    rejects = read_rejects(spark, folder, OFFLINE).select("problem")
+    sound = read_csv(spark, folder, OFFLINE).select(F.lit("none").alias("problem"))
+    return sound.unionByName(rejects).groupBy("problem").agg(F.count("*").alias("n_lines"))
 
 
 def staging_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tf.unstaged(spark, sf_dir).feed.select(*CANONICAL, *LINEAGE)
+    return tf.staged_feed(spark, sf_dir).select(*CANONICAL, *LINEAGE)
 
 
 def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +287,31 @@ def fct_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("fct_sales")
 
 
+def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full run, and the same feed again a month later: the fact is replaced by equal rows."""
+    store, feed = Store.temporary(spark), tf.staged(spark, sf_dir).feed
+    for day in (tf.LOAD_DT, tf.NEXT_LOAD_DT):
+        run_warehouse(feed, store, day, calendar=tf.CALENDAR)
+    return store.read("fct_sales")
+
+
+def reopened_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity layer loaded, and loaded again through a second store over the same files: nothing is added."""
+    store, staged = Store.temporary(spark), tf.staged(spark, sf_dir)
+    for opened in (store, Store(spark, store.root, f"{store.database}_again")):
+        layer = EntityLayer(staged.feed, opened, tf.LOAD_DT)
+        layer.load_tables(tf.CALENDAR)
+        layer.load_sales()
+    return opened.read("ce_sales")
+
+
+def ordered_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = Store.temporary(spark)
+    levels = (*entities.CITIES.parents, entities.CITIES)
+    entities.load_hierarchy(tf.unstaged(spark, sf_dir).feed, store, levels, tf.LOAD_DT)
+    return entities.listing(store, "ce_cities", "city_name")
+
+
 def fct_uncovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.uncovered_sales(_sales(spark, sf_dir))
 
@@ -318,9 +362,9 @@ def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Online sales of a car at a dealer that the offline feed does not know."""
-    rows = tf.unstaged(spark, sf_dir).feed.select(
+    rows = save(tf.unstaged(spark, sf_dir).feed.select(
         "id", "source_system", joined("dealer", "brand", "model").alias("dealer_car")
-    )
+    ), "dealer-cars")
     known = rows.filter(is_offline())
     return quality.orphans(rows.filter(~is_offline()), "dealer_car", known, "dealer_car").select("id", "dealer_car")
 
@@ -345,6 +389,8 @@ def all_queries() -> dict[str, Query]:
     e = entities
     return {
         "csv_scan": csv_scan,
+        "csv_scan_online": csv_scan_online,
+        "csv_rejects": csv_rejects,
         "staging_union": staging_union,
         "safe_casts": safe_casts,
         "cast_rejects": cast_rejects,
@@ -381,6 +427,9 @@ def all_queries() -> dict[str, Query]:
         "fct_sales": fct_sales,
         "fct_partition_overwrite": fct_partition_overwrite,
         "fct_uncovered": fct_uncovered,
+        "run_twice": run_twice,
+        "reopened_store": reopened_store,
+        "ordered_cities": ordered_cities,
         "city_counts": city_counts,
         "entity_counts": entity_counts,
         "log_history": log_report,

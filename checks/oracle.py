@@ -536,6 +536,15 @@ def oracle_statements() -> dict[str, str]:
     found = {
         "csv_scan": f"""
 SELECT {', '.join(f'{c} AS {n}' for c, n in _OFFLINE_NAMES.items())} FROM sale_lines WHERE return_flag <> 'R'""",
+        "csv_scan_online": f"""
+SELECT {', '.join(f"{c if c == 'sale_date' else f"' ' || lower({c}) || '  '"} AS {n}" for c, n in _ONLINE_NAMES.items())}
+FROM sale_lines WHERE return_flag = 'R'""",
+        "csv_rejects": """
+SELECT problem, count(*) AS n_lines FROM (
+  SELECT CASE WHEN o % 11 = 0 THEN 'missing columns' WHEN o % 13 = 0 THEN 'surplus columns'
+    WHEN o % 17 = 0 THEN 'open quote' ELSE 'none' END AS problem
+  FROM (SELECT CAST(split_part(id, '-', 1) AS BIGINT) AS o FROM sale_lines WHERE return_flag <> 'R') AS l) AS p
+GROUP BY problem""",
         "staging_union": f"SELECT {', '.join(CANONICAL)}, source_system, source_entity FROM feed",
         "safe_casts": f"""
 SELECT id, source_system, {', '.join(f"{number(c, kind)} AS {m}" for m, (c, kind) in MEASURES.items())},
@@ -600,6 +609,9 @@ FROM supplier_second WHERE dealer_src_id NOT IN (SELECT dealer_src_id FROM suppl
 SELECT * REPLACE (CASE WHEN sales_period = '2022_Q3' THEN {DAY2} ELSE insert_dt END AS insert_dt,
   CASE WHEN sales_period = '2022_Q3' THEN {DAY2} ELSE update_dt END AS update_dt)
 FROM fct_sales WHERE sales_period <> '2022_Q2'""",
+        "run_twice": f"SELECT * REPLACE ({DAY2} AS insert_dt, {DAY2} AS update_dt) FROM fct_sales",
+        "reopened_store": "SELECT * FROM ce_sales",
+        "ordered_cities": "SELECT * FROM ce_cities ORDER BY city_name, city_id",
         "fct_uncovered": f"SELECT * FROM ce_sales WHERE {period('date_id')} IS NULL",
         "city_counts": "SELECT city_name, count(*) AS n_rows FROM ce_cities GROUP BY city_name",
         "entity_counts": "\nUNION ALL\n".join(
@@ -641,3 +653,14 @@ _OFFLINE_NAMES = {
     "commission_rate": "commissionrate", "commission_earned": "commissionearned",
     "payment_method": "paymentmethod", "channel": "saleschannel", "dealer": "cardelername",
 }
+
+# Column of a sale line -> its name in the online feed.
+_ONLINE_NAMES = {
+    "id": "id", "sale_date": "date_of_transaction", "employee_id": "employee_id", "employee_name": "employee",
+    "customer_name": "customer_name_and_surname", "country": "customer_country", "state": "customer_state",
+    "postal": "customer_postal_code", "city": "customer_city", "street": "customer_street_name",
+    "building": "customer_building_number", "phone": "customer_telephone_number", "email": "customer_email",
+    "brand": "brand", "model": "car_model", "year": "car_year", "price": "car_price",
+    "reduction_percent": "reduction_percent", "income": "income", "payment_method": "payment_method",
+    "channel": "sales_channel", "dealer": "car_dealer_name",
+}

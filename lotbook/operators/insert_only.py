@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lotbook.operators.lookup import lookup_join
+from lotbook.operators.lookup import BROADCAST_ROWS, lookup_join, touched_rows
 from lotbook.operators.surrogate import assign_surrogate, is_small, number_small
 from lotbook.schemas import DEFAULT_ID, TABLES
 from lotbook.sources.store import Store, one_row
@@ -39,12 +39,18 @@ def next_id(store: Store, table: str) -> int:
     return max(largest or 0, 0) + 1
 
 
-def not_in_table(rows: DataFrame, store: Store, table: str, keys: Sequence[str], **options) -> DataFrame:
-    """Rows whose natural key is new to the table."""
+def not_in_table(rows: DataFrame, store: Store, table: str, keys: Sequence[str], *,
+                 candidate_rows: int | None = None, **options) -> DataFrame:
+    """Rows whose natural key is new to the table.
+
+    With few candidates, of which ``candidate_rows`` is an upper bound, a large table is first reduced to their keys.
+    """
     count = store.rows(table)
     if not count:
         return rows
     loaded = store.read(table).select(*keys)
+    if count > BROADCAST_ROWS and candidate_rows is not None and candidate_rows <= BROADCAST_ROWS:
+        loaded, count = touched_rows(loaded, rows, keys, candidate_rows), candidate_rows
     return lookup_join(rows, loaded, keys, "left_anti", known_rows=count, **options)
 
 
@@ -78,7 +84,7 @@ def load_insert_only(
     New rows are numbered by ascending natural key. ``known_rows`` is an upper bound of the candidates.
     """
     spec = TABLES[table]
-    fresh = not_in_table(candidates, store, table, [spec.src_col])
+    fresh = not_in_table(candidates, store, table, [spec.src_col], candidate_rows=known_rows)
     order = [spec.src_col, *[c for c in fresh.columns if c != spec.src_col]]
     start = next_id(store, table)
     if is_small(known_rows):

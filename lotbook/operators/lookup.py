@@ -1,35 +1,48 @@
 """Equi joins against lookup tables that stay balanced whatever the keys look like.
 
-A lookup side of a measured, bounded number of rows is broadcast: no shuffle, so skew cannot matter. A larger
-one is shuffled, and the few keys holding a large share of the left rows are spread over many slices, with
-their lookup rows repeated once per slice.
+A lookup side of a measured, bounded size is broadcast: no shuffle, so skew cannot matter. A larger one is shuffled,
+and the keys holding a large share of the left rows are spread over many slices, with their lookup rows repeated once
+per slice and their equal rows counted instead of moved.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lotbook.schemas import DEFAULT_ID
 
-# Lookup rows hold a few ids and texts of declared length (at most 300 characters).
+# A side is broadcast up to this many rows and this many bytes of text in them; both are measured.
 BROADCAST_ROWS = 100_000
-HOT_SHARE = 0.005  # a key with more than this share of the rows is split; at most 200 such keys can exist
-SLICES = 64
+BROADCAST_BYTES = 64 << 20
+HOT_SHARE = 0.0005  # a key with more than this share of the rows is split; at most 2,000 such keys can exist
+SLICES = 64  # least number of slices of a split key
+SLICE_ROWS = 250_000  # rows a slice should hold at most
 
 
-def fits_broadcast(rows: DataFrame, limit: int = BROADCAST_ROWS, known_rows: int | None = None) -> bool:
-    """Whether a frame has at most ``limit`` rows, measured unless the caller knows the count."""
-    if known_rows is not None:
+def fits_broadcast(rows: DataFrame, limit: int = BROADCAST_ROWS, known_rows: int | None = None,
+                   free_text: bool = False) -> bool:
+    """Whether a frame has at most ``limit`` rows and ``BROADCAST_BYTES`` of text.
+
+    Rows of the store's tables hold a few ids and texts of declared length, so their known number says enough. Rows
+    with ``free_text``, as a feed brings it, and rows of unknown number are measured.
+    """
+    if known_rows is not None and (known_rows > limit or not free_text):
         return known_rows <= limit
-    return rows.limit(limit + 1).count() <= limit
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in rows.schema
+             if f.dataType.typeName() in ("string", "binary")]
+    size = reduce(add, texts, F.lit(0)).cast("bigint")
+    count, total = rows.limit(limit + 1).agg(F.count("*"), F.sum(size)).first()
+    return count <= limit and (total or 0) <= BROADCAST_BYTES
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys with more than ``share`` of all rows: fewer than ``1 / share`` by construction.
+def _frequent(rows: DataFrame, keys: Sequence[str], share: float) -> tuple[DataFrame, int]:
+    """Keys with more than ``share`` of all rows, and the rows of the most frequent of them (0 without any).
 
     One column-pruned pass with map-side counts; the most frequent ``1 / share`` keys hold every such key.
     """
@@ -40,8 +53,14 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) ->
         .orderBy(F.desc("_n")).limit(math.ceil(1 / share))
         .collect()
     )
-    frequent = [tuple(r[k] for k in keys) for r in top if r["_n"] > seen.get["total"] * share]
-    return rows.sparkSession.createDataFrame(frequent, rows.select(*keys).schema)
+    hot = [r for r in top if r["_n"] > max(seen.get["total"] * share, 1)]
+    frame = rows.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], rows.select(*keys).schema)
+    return frame, hot[0]["_n"] if hot else 0
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys with more than ``share`` of all rows: fewer than ``1 / share`` by construction."""
+    return _frequent(rows, keys, share)[0]
 
 
 def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool = False) -> DataFrame:
@@ -59,20 +78,58 @@ def sliced_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: DataFrame,
     null_safe: bool = False, slices: int = SLICES,
 ) -> DataFrame:
-    """Shuffled join in which rows of ``hot`` keys are spread over ``slices`` by a hash of the whole row."""
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(slices)).cast("int")
-    left = keyed_join(left, flag, keys, "left", null_safe=True)
-    left = left.withColumn("_slice", F.when(F.col("_hot"), spread).otherwise(F.lit(0))).drop("_hot")
-    right = keyed_join(right, flag, keys, "left", null_safe=True)
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
-    right = right.withColumn("_slice", F.explode(copies)).drop("_hot")
-    return keyed_join(left, right, [*keys, "_slice"], how, null_safe).drop("_slice")
+    """Shuffled join in which the rows of ``hot`` keys are spread over slices.
+
+    Equal rows of a hot key are counted first, so that a key of a billion copies is a handful of rows in the join.
+    Each counted row is dealt over the slices, with its share of the copies, and gives its copies back behind the join.
+    Slices depend on the row alone, so a task that runs again sends the same rows to the same places. Their number
+    follows from the measured count of the most frequent key.
+    """
+    flagged = F.broadcast(hot.select(*keys, F.lit(True).alias("_hot")))
+    marked = keyed_join(left, flagged, keys, "left", null_safe=True)
+    cold = keyed_join(marked.filter("_hot IS NULL").drop("_hot"), right.hint("merge"), keys, how, null_safe)
+
+    columns = left.columns
+    counted = marked.filter("_hot").select(*columns).groupBy(*columns).agg(F.count("*").alias("_copies"))
+    parts = F.least(F.col("_copies"), F.lit(slices)).cast("int")
+    dealt = counted.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    share = F.floor(F.col("_copies") / parts) + (F.col("_part") < F.col("_copies") % parts).cast("bigint")
+    start = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    dealt = dealt.select(*columns, share.alias("_share"), F.pmod(start + F.col("_part"), F.lit(slices)).cast("int")
+                         .alias("_slice"))
+    repeated = keyed_join(right, flagged, keys, "inner", null_safe=True).drop("_hot").withColumn(
+        "_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    met = keyed_join(dealt, repeated.hint("merge"), [*keys, "_slice"], how, null_safe).drop("_slice")
+    again = met.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_share"))))
+    return cold.unionByName(again.select(*cold.columns))
+
+
+def unique_join(left: DataFrame, right: DataFrame, key: str, known_rows: int | None = None) -> DataFrame:
+    """Left join of two sides that are both unique by ``key``, so no key is hot.
+
+    ``known_rows`` bounds the right side; it is broadcast up to the checked size and shuffled otherwise, whatever the
+    engine estimates.
+    """
+    if known_rows is not None and fits_broadcast(right, known_rows=known_rows):
+        return left.join(F.broadcast(right), key, "left")
+    return left.join(right.hint("merge"), key, "left")
+
+
+def touched_rows(target: DataFrame, delta: DataFrame, keys: Sequence[str], delta_rows: int | None) -> DataFrame:
+    """The target's rows whose key the delta has, where the delta is small enough to be broadcast; else the target.
+
+    One scan of the target without a shuffle, after which a merge works on rows of the delta's size.
+    """
+    wanted = delta.select(*keys)
+    if delta_rows is None or not fits_broadcast(wanted, known_rows=delta_rows):
+        return target
+    return target.join(F.broadcast(wanted.distinct()), list(keys), "left_semi")
 
 
 def lookup_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", *, null_safe: bool = False,
     known_rows: int | None = None, keys_from: DataFrame | None = None, limit: int | None = None,
+    free_text: bool = False,
 ) -> DataFrame:
     """``left``, ``left_anti`` or ``inner`` join with a broadcast up to a checked size, sliced beyond it.
 
@@ -80,19 +137,25 @@ def lookup_join(
     on ``keys_from`` where it gives the left side's keys more cheaply than the left side itself.
     """
     limit = BROADCAST_ROWS if limit is None else limit
-    if fits_broadcast(right, limit, known_rows):
+    if fits_broadcast(right, limit, known_rows, free_text):
         return keyed_join(left, F.broadcast(right), keys, how, null_safe)
-    hot = hot_keys(left if keys_from is None else keys_from, keys)
-    return sliced_join(left, right, keys, how, hot, null_safe)
+    hot, most = _frequent(left if keys_from is None else keys_from, keys, HOT_SHARE)
+    if not most:
+        return keyed_join(left, right.hint("merge"), keys, how, null_safe)
+    return sliced_join(left, right, keys, how, hot, null_safe, max(SLICES, math.ceil(most / SLICE_ROWS)))
 
 
 def resolve(
     rows: DataFrame, lookup: DataFrame, natural_key: Column, lookup_key: str, id_col: str, *,
-    known_rows: int | None = None, default: int | None = DEFAULT_ID,
+    known_rows: int | None = None, default: int | None = DEFAULT_ID, keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``id_col`` by looking a natural key up; unmatched rows get the default member."""
+    """Add ``id_col`` by looking a natural key up; unmatched rows get the default member.
+
+    ``keys_from`` holds the columns of ``natural_key`` and is cheaper to read than ``rows``, for counting hot keys.
+    """
     side = lookup.select(F.col(lookup_key).alias("_key"), F.col(id_col).alias("_id"))
     keyed = rows.select("*", natural_key.alias("_key"))
-    found = lookup_join(keyed, side, ["_key"], known_rows=known_rows)
+    counted = None if keys_from is None else keys_from.select(natural_key.alias("_key"))
+    found = lookup_join(keyed, side, ["_key"], known_rows=known_rows, keys_from=counted)
     value = F.col("_id") if default is None else F.coalesce(F.col("_id"), F.lit(default).cast("bigint"))
     return found.select(*rows.columns, value.alias(id_col))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotbook.functions.text import attribute
 from lotbook.operators.insert_only import append_new, next_id, with_stamps
-from lotbook.operators.lookup import lookup_join
+from lotbook.operators.lookup import lookup_join, touched_rows, unique_join
 from lotbook.operators.surrogate import assign_surrogate
 from lotbook.schemas import OPEN_END, TABLES
 from lotbook.sources.store import Store
@@ -40,17 +40,18 @@ def differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return changed
 
 
-def detect_versions(target: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+def detect_versions(target: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str],
+                    known_rows: int | None = None) -> DataFrame:
     """Snapshot rows that need a row in the target, with ``change``: a new key, or a changed active version.
 
-    A key whose versions are all closed stays closed. The target is reduced to one state per key first, so
-    both sides of the join are hash-partitioned once by the same key.
+    A key whose versions are all closed stays closed. The target is reduced to the keys of a small snapshot, of which
+    ``known_rows`` is an upper bound, and then to one state per key, so both sides of the join are unique.
     """
-    state = target.groupBy(key).agg(
+    state = touched_rows(target, snapshot, [key], known_rows).groupBy(key).agg(
         F.max(F.when(F.col("is_active") == "Y", F.struct(*tracked))).alias("_active"),
         F.lit(True).alias("_known"),
     )
-    joined = snapshot.join(state, key, "left")
+    joined = unique_join(snapshot, state, key, known_rows)
     changed = differs(
         [attribute(F.col(c)) for c in tracked], [attribute(F.col(f"_active.{c}")) for c in tracked]
     )
@@ -81,7 +82,7 @@ def scd2_merge(
     key = spec.src_col
     first = next_id(store, table)
     if store.rows(table):
-        changes = detect_versions(store.read(table), snapshot, key, tracked)
+        changes = detect_versions(store.read(table), snapshot, key, tracked, known_rows)
     else:
         changes = snapshot.withColumn("change", F.lit(NEW))
     numbered = assign_surrogate(changes, "_number", [key], within=["change"], known_rows=known_rows)
@@ -103,6 +104,7 @@ def scd2_merge(
         store.replace(table, kept.select(*spec.columns).unionByName(added))
     else:
         _, default_rows = append_new(store, table, opened, load_dt)
+    # The labels of the log message.
     return {"New customers": new_keys, "SCD Old Updated": versions, "SCD New Versions": versions,
             "Default rows": default_rows}
 
@@ -119,16 +121,16 @@ def latest_rows(dimension: DataFrame, key: str, id_col: str) -> DataFrame:
 
 def detect_mirror_changes(
     dimension: DataFrame, source: DataFrame, key: str, id_col: str, tracked: Sequence[str],
-    validity: Sequence[str],
+    validity: Sequence[str], known_rows: int | None = None,
 ) -> DataFrame:
     """Source versions the dimension lacks or holds differently, with ``change`` and the row to touch.
 
     ``insert``: unknown version. ``carry``: same attributes, other validity. ``reopen``: other attributes.
     """
-    latest = latest_rows(dimension, key, id_col).select(
+    latest = latest_rows(touched_rows(dimension, source, [key], known_rows), key, id_col).select(
         key, F.col(id_col).alias("_row"), *[F.col(c).alias(f"_old_{c}") for c in (*tracked, *validity)]
     )
-    joined = source.join(latest, key, "left")
+    joined = unique_join(source, latest, key, known_rows)
 
     def changed(columns):
         return differs([F.col(c) for c in columns], [F.col(f"_old_{c}") for c in columns])
@@ -158,7 +160,7 @@ def mirror_scd2(
     validity = ("start_dt", "end_dt", "is_active")
     first = next_id(store, table)
     if store.rows(table):
-        changes = detect_mirror_changes(store.read(table), source, key, id_col, tracked, validity)
+        changes = detect_mirror_changes(store.read(table), source, key, id_col, tracked, validity, known_rows)
     else:
         changes = source.withColumn("_row", F.lit(None).cast("bigint")).withColumn("change", F.lit(INSERT))
     numbered = assign_surrogate(changes, "_number", order_by, within=["change"], known_rows=known_rows)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from lotbook.sources.scratch import save
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above, the row position below this bit
-ONE_TASK_ROWS = 100_000  # up to this many rows, known beforehand, are sorted by a single task
+ONE_TASK_ROWS = 100_000  # up to this many new rows, known beforehand, are shuffled to one task and sorted there
 
 
 @dataclass(frozen=True)
@@ -31,9 +31,13 @@ def is_small(known_rows: int | None) -> bool:
 
 
 def number_small(rows: DataFrame, id_col: str, order_by: Sequence[str], start: int = 1) -> DataFrame:
-    """Number a frame whose row count is known to be small; nothing is written or counted."""
+    """Number a frame whose row count is known to be small; nothing is written or counted.
+
+    Only the rows themselves are shuffled to one task. What makes them, such as a join with the target, keeps its
+    own partitions: a narrow coalesce would pull it into that task.
+    """
     keys = [F.col(k).asc() for k in order_by]
-    placed = rows.coalesce(1).sortWithinPartitions(*keys)
+    placed = rows.repartition(1).sortWithinPartitions(*keys)
     return placed.withColumn(id_col, F.monotonically_increasing_id() + F.lit(start).cast("bigint"))
 
 
@@ -50,7 +54,7 @@ def assign_surrogate(
     never NULL, such as kinds of change or periods. ``known_rows`` is an upper bound of the rows, if known.
     """
     keys = [F.col(k).asc() for k in [*within, *order_by]]
-    parts = rows.coalesce(1) if is_small(known_rows) else rows.repartitionByRange(*keys)
+    parts = rows.repartition(1) if is_small(known_rows) else rows.repartitionByRange(*keys)
     placed = parts.sortWithinPartitions(*keys).withColumn("_position", F.monotonically_increasing_id())
     saved = save(placed, "numbered").withColumn("_slot", F.shiftright("_position", _POSITION_BITS))
     runs = (

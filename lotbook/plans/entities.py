@@ -243,3 +243,8 @@ def load_dates(
     missing = not_in_table(days, store, "ce_dates", ["date"]).coalesce(1)
     added, default_rows = append_new(store, "ce_dates", missing, load_dt)
     return {"New rows": added, "Default rows": default_rows}
+
+
+def listing(store: Store, table: str, *by: str) -> DataFrame:
+    """The rows of an entity in ascending order of the given columns, then of its id."""
+    return store.read(table).orderBy(*[F.asc(c) for c in (*by, TABLES[table].id_col)])

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from lotbook.functions.casts import safe_date, safe_number
 from lotbook.functions.text import cut, is_filled, key_part, prefixed
+from lotbook.operators.audit import AuditLog
 from lotbook.operators.insert_only import next_id, not_in_table, with_stamps
-from lotbook.operators.lookup import BROADCAST_ROWS, lookup_join, resolve
+from lotbook.operators.lookup import lookup_join, resolve
 from lotbook.operators.measures import MONEY, percent_of
 from lotbook.operators.merge import prefer_primary
 from lotbook.operators.periods import DEFAULT_PERIODS, Period, check_periods, uncovered, within_periods
@@ -81,7 +82,7 @@ def sales_to_load(
     feed has its id. An employee id with two spellings of the name
     gives one row per spelling.
     """
-    sales = sale_rows(feed, slash_format)
+    sales = texts = sale_rows(feed, slash_format)
     lookups = (
         (e.DEALERS, "_dealer"), (e.SALES_CHANNELS, "_channel"), (e.PAYMENT_METHODS, "_payment"),
         (e.CARS, "_car"), (e.EMPLOYEES, "_employee"),
@@ -90,16 +91,14 @@ def sales_to_load(
         spec = TABLES[entity.table]
         members = store.read(entity.table).filter(F.col("source_system").isin(*e.FEED_SYSTEMS))
         sales = resolve(sales, members, F.col(text), spec.src_col, spec.id_col,
-                        known_rows=store.rows(entity.table)).drop(text)
+                        known_rows=store.rows(entity.table), keys_from=texts).drop(text)
     sales = resolve(sales, store.read("ce_dates"), F.col("_date"), "date", "date_id",
-                    known_rows=store.rows("ce_dates")).drop("_date")
+                    known_rows=store.rows("ce_dates"), keys_from=texts).drop("_date")
 
     # The chain of six lookups runs on the distinct customer paths; a sale needs one join.
     customers, paths = save_counted(customer_ids(feed if people is None else people, store), "customer-ids")
-    if paths > BROADCAST_ROWS:
-        sales = sales.distinct()  # copies of a sale collapse before the rows are shuffled by their keys
     sales = lookup_join(sales, customers, list(CUSTOMER_PATH), null_safe=True, known_rows=paths,
-                        keys_from=feed).drop(*CUSTOMER_PATH)
+                        keys_from=feed, free_text=True).drop(*CUSTOMER_PATH)
 
     online_ids = feed.filter(~is_offline()).select(F.col("id").alias("_sale"))
     offline_ids = feed.filter(is_offline()).select(F.col("id").alias("_sale"))
@@ -180,9 +179,27 @@ def load_fact(
     return {p.name: counts.get(p.name, 0) for p in periods}
 
 
+def load_fact_logged(
+    store: Store, load_dt: dt.date, periods: Sequence[Period] = DEFAULT_PERIODS, rate_is_fraction: bool = False
+) -> dict[str, int]:
+    """:func:`load_fact` with a log row for each period, which tells its bounds and rows; an error gives one each too."""
+    log = AuditLog(store)
+    with log.together():
+        try:
+            counts = load_fact(store, load_dt, periods, rate_is_fraction)
+        except Exception as problem:
+            for p in periods:
+                log.write("LOAD_FCT_SALES", -1, f"Error: {p.name}: {problem}", "Error")
+            raise
+        for p in periods:
+            log.write("LOAD_FCT_SALES", counts[p.name],
+                      f"{p.name}: date ids {p.first_id} to {p.end_id - 1}, rows: {counts[p.name]}", "Success")
+    return counts
+
+
 def load_fact_period(store: Store, load_dt: dt.date, first_id: int, last_id: int, name: str) -> dict[str, int]:
-    """Recompute one range of date ids, bounds included."""
-    return load_fact(store, load_dt, [Period(name, first_id, last_id + 1)])
+    """Recompute one range of date ids, bounds included, and log it."""
+    return load_fact_logged(store, load_dt, [Period(name, first_id, last_id + 1)])
 
 
 def uncovered_sales(store: Store, periods: Sequence[Period] = DEFAULT_PERIODS) -> DataFrame:

@@ -82,18 +82,60 @@ CANONICAL = tuple(dict.fromkeys([*_OFFLINE_COLUMNS, *_ONLINE_COLUMNS]))
 LINEAGE = ("source_system", "source_entity")
 
 
-def read_csv(spark: SparkSession, path: str, feed: Feed, multi_line: bool = False) -> DataFrame:
-    """All-text scan. Unquoted empty is NULL, quoted empty stays ``''``.
+_CSV = {"sep": ";", "quote": '"', "escape": '"', "nullValue": "\u0000"}
+_CORRUPT = "_corrupt_record"
 
-    ``multi_line`` accepts line ends inside quotes, at the price of one task per file.
-    """
+
+def _problem(line: Column, feed: Feed) -> Column:
+    """What is wrong with a line, or NULL: an open quote, or missing or surplus columns."""
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    bare = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
+    n_columns = F.length(bare) - F.length(F.replace(bare, F.lit(";"), F.lit(""))) + 1
     return (
-        spark.read.schema(feed.schema)
-        .options(sep=";", header=True, quote='"', escape='"', nullValue="\u0000", multiLine=multi_line)
-        .csv(path)
+        F.when(quotes % 2 == 1, "open quote").when(n_columns < len(feed.columns), "missing columns")
+        .when(n_columns > len(feed.columns), "surplus columns")
     )
 
 
+def _lines(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
+    """Lines with their ``problem``. Header lines, the column names in any case, and empty lines are left out."""
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    plain = F.lower(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    rows = lines.filter((plain != ";".join(feed.columns.values()).lower()) & (F.col("line") != ""))
+    return rows.select("line", _problem(F.col("line"), feed).alias("problem"))
+
+
+def _multi_line(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
+    schema = T.StructType([*feed.schema, T.StructField(_CORRUPT, T.StringType())])
+    return spark.read.schema(schema).options(
+        **_CSV, header=True, multiLine=True, columnNameOfCorruptRecord=_CORRUPT).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, feed: Feed, multi_line: bool = False) -> DataFrame:
+    """All-text scan of the sound records. Unquoted empty is NULL, quoted empty stays ``''``.
+
+    Records with missing or surplus columns or an open quote are no sales; :func:`csv_rejects` gives them. Without
+    ``multi_line`` a line end inside quotes makes two such records; with it, it belongs to the value, at the price of
+    one task per file.
+    """
+    if multi_line:
+        return _multi_line(spark, path, feed).filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    ddl = ", ".join(f"`{name}` STRING" for name in feed.columns.values())
+    sound = _lines(spark, path, feed).filter("problem IS NULL")
+    return sound.select(F.from_csv("line", ddl, _CSV).alias("r")).select("r.*")
+
+
+def csv_rejects(spark: SparkSession, path: str, feed: Feed, multi_line: bool = False) -> DataFrame:
+    """Records that :func:`read_csv` puts aside: ``problem`` and ``line``."""
+    if multi_line:
+        # The reader refuses to give the corrupt record alone, so a real column is asked for as well.
+        some = F.length(F.coalesce(F.col(f"`{next(iter(feed.columns.values()))}`"), F.lit(""))) >= 0
+        broken = _multi_line(spark, path, feed).filter(F.col(_CORRUPT).isNotNull() & some)
+        line = F.col(_CORRUPT)
+        return broken.select(F.coalesce(_problem(line, feed), F.lit("unreadable")).alias("problem"), line.alias("line"))
+    return _lines(spark, path, feed).filter("problem IS NOT NULL").select("problem", "line")
+
+
 def stage(feed_rows: DataFrame, path: str) -> DataFrame:
     """Columnar copy of a feed; running it again replaces the copy."""
     feed_rows.write.mode("overwrite").parquet(path)

@@ -27,6 +27,11 @@ class Store:
 
     A table that has to be rewritten is written to a new folder first and the catalog entry is then pointed
     at it, so readers see the old or the new rows, never a mix, and a failed write changes nothing.
+
+    The files are the truth, not the catalog: which folder a table lives in is kept next to its data, in numbered
+    pointer files written after the data, of which the last counts. A store that is opened again, in another session
+    or under another database name, finds the tables, rows and partitions that are there. One store writes at a time;
+    a second writer that replaces the same table fails at the pointer.
     """
 
     def __init__(self, spark: SparkSession, root: str, database: str):
@@ -37,7 +42,8 @@ class Store:
         self._ensured: set[str] = set()
         # Two jobs must not commit into one folder at a time; loads that run side by side share the log table.
         self._writing: dict[str, threading.Lock] = defaultdict(threading.Lock)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}'")
+        self._creating: dict[str, threading.Lock] = defaultdict(threading.Lock)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/_catalog'")
 
     @classmethod
     def temporary(cls, spark: SparkSession) -> Store:
@@ -47,23 +53,49 @@ class Store:
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 
+    def _files(self, path: str):
+        """A path and the file system it lies on."""
+        jvm = self.spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _pointers(self, table: str) -> list[str]:
+        """Names of the pointer files, oldest first; each is a number and the folder it points to."""
+        place, files = self._files(f"{self.root}/{table}/_pointers")
+        return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+    def _point(self, table: str, folder: str) -> None:
+        """Make ``folder`` the table's folder from now on."""
+        number = len(self._pointers(table))
+        place, files = self._files(f"{self.root}/{table}/_pointers/{number:09d}={folder}")
+        if number != len(self._pointers(table)) or not files.createNewFile(place):
+            raise RuntimeError(f"{table} was replaced by another writer")
+
     def location(self, table: str) -> str:
-        return f"{self.root}/{table}/base"
+        pointers = self._pointers(table)
+        return f"{self.root}/{table}/{pointers[-1].partition('=')[2] if pointers else 'base'}"
 
     def ensure(self, table: str) -> None:
-        if table in self._ensured:
-            return
-        self._ensured.add(table)
-        if self.spark.catalog.tableExists(self.name(table)):
-            return
-        self._rows[table] = 0
-        spec: Table = TABLES[table]
-        columns = ", ".join("`{}` {}".format(*part.split()) for part in spec.ddl.split(", "))
-        partition = f" PARTITIONED BY (`{spec.partition_by}`)" if spec.partition_by else ""
-        self.spark.sql(
-            f"CREATE TABLE {self.name(table)} ({columns}) USING parquet{partition} "
-            f"LOCATION '{self.location(table)}'"
-        )
+        """Register the table at its current folder, with the partitions found there."""
+        with self._creating[table]:
+            if table in self._ensured:
+                return
+            spec: Table = TABLES[table]
+            location = self.location(table)
+            place, files = self._files(location)
+            filled = files.exists(place)
+            if self.spark.catalog.tableExists(self.name(table)):
+                self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{location}'")
+            else:
+                columns = ", ".join("`{}` {}".format(*part.split()) for part in spec.ddl.split(", "))
+                partition = f" PARTITIONED BY (`{spec.partition_by}`)" if spec.partition_by else ""
+                self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}) USING parquet{partition} "
+                               f"LOCATION '{location}'")
+            if filled and spec.partition_by:
+                self.spark.catalog.recoverPartitions(self.name(table))
+            if not filled:
+                self._rows[table] = 0
+            self._ensured.add(table)
 
     def read(self, table: str) -> DataFrame:
         self.ensure(table)
@@ -88,9 +120,10 @@ class Store:
     def replace(self, table: str, rows: DataFrame) -> None:
         self.ensure(table)
         self._rows.pop(table, None)
-        folder = f"{self.root}/{table}/{uuid.uuid4().hex}"
-        rows.select(*TABLES[table].columns).write.parquet(folder)
-        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
+        folder = uuid.uuid4().hex
+        rows.select(*TABLES[table].columns).write.parquet(f"{self.root}/{table}/{folder}")
+        self._point(table, folder)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{self.root}/{table}/{folder}'")
         self.spark.catalog.refreshTable(self.name(table))
 
     def overwrite_partitions(self, table: str, rows: DataFrame, requested: Iterable[str],

@@ -1,4 +1,4 @@
-from lotbook.sources.feeds import CANONICAL, OFFLINE, ONLINE, conform, read_csv, stage
+from lotbook.sources.feeds import CANONICAL, OFFLINE, ONLINE, conform, csv_rejects, read_csv, stage
 from lotbook.sources.scratch import new_folder, save_counted, scratch_root
 from tests import feeds
 from tests.conftest import rows
@@ -54,3 +54,23 @@ def test_scratch_uses_the_configured_folder(spark):
     frame, count = save_counted(spark.range(7).toDF("n"), "t")
     assert count == 7 and frame.count() == 7
     assert all(scratch_root(spark) in f for f in frame.inputFiles())
+
+
+def test_broken_records_are_put_aside(spark, tmp_path):
+    path = tmp_path / "offline.csv"
+    few, many = ";".join(["x"] * 5), ";".join(["x"] * 25)
+    torn = _line(id="4", customername='"two\nlines"')
+    last = _line(id="5", cardelername='"open')
+    good = _line(id="6", customername='"semi;""colon"')
+    path.write_text("\n".join([";".join(OFFLINE.columns.values()), _line(id="1"), few, "", many, torn, last, good]) + "\n")
+    assert rows(read_csv(spark, str(path), OFFLINE), "id", "customername") == [("1", "x"), ("6", 'semi;"colon')]
+    kinds = [r.problem for r in csv_rejects(spark, str(path), OFFLINE).collect()]
+    assert sorted(kinds) == ["missing columns", "open quote", "open quote", "open quote", "surplus columns"]
+
+
+def test_broken_records_of_a_multi_line_scan(spark, tmp_path):
+    path = tmp_path / "offline.csv"
+    few = ";".join(["x"] * 5)
+    path.write_text("\n".join([";".join(OFFLINE.columns.values()), _line(id="4", customername='"two\nlines"'), few]) + "\n")
+    assert rows(read_csv(spark, str(path), OFFLINE, multi_line=True), "id", "customername") == [("4", "two\nlines")]
+    assert rows(csv_rejects(spark, str(path), OFFLINE, multi_line=True), "problem") == [("missing columns",)]

@@ -80,3 +80,25 @@ def test_priority_looks_at_the_unfiltered_primary_feed(spark):
     )
     merged = union_with_priority(feed.filter("name <> ''"), feed, "key")
     assert rows(merged, "key", "name") == [("A", "x"), ("C", "y"), (None, "y")]
+
+
+def test_equal_rows_of_a_hot_key_are_spread_too(spark, members):
+    same = spark.range(30_000).select(F.lit(7).cast("bigint").alias("k")).union(
+        spark.range(30_000).select((F.col("id") * 2).alias("k")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup.lookup_join(same, members, ["k"], limit=0).filter("k = 7")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 30_000 and len(sizes) == 4 and max(sizes) < 15_000
+
+
+def test_texts_beyond_the_byte_limit_are_not_broadcast(spark, monkeypatch):
+    wide = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 100).alias("t"))
+    assert lookup.fits_broadcast(wide, known_rows=10, free_text=True)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 999)
+    assert not lookup.fits_broadcast(wide, known_rows=10, free_text=True) and not lookup.fits_broadcast(wide)
+    assert lookup.fits_broadcast(wide, known_rows=10)
