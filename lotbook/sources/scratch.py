@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+_RUN_FOLDERS: dict[str, str] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``; where it is unset, a folder in the warehouse directory.
@@ -17,22 +19,28 @@ def scratch_root(spark: SparkSession) -> str:
     return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
+def _run_folder(spark: SparkSession) -> str:
+    """The scratch folder of this application, which is removed when its JVM ends in good order."""
+    app = spark.sparkContext.applicationId
+    if app not in _RUN_FOLDERS:
+        path = f"{scratch_root(spark)}/lotbook-{uuid.uuid4().hex}"
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _RUN_FOLDERS[app] = path
+    return _RUN_FOLDERS[app]
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A new path in the scratch folder, which is removed when the session's JVM ends in good order."""
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    # Only paths that exist are taken note of.
-    files.mkdirs(folder)
-    files.deleteOnExit(folder)
-    return path
+    """A path in the scratch folder that does not exist yet."""
+    return f"{_run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def save(df: DataFrame, label: str = "saved") -> DataFrame:
     """Write once and return the written table, so later steps do not recompute its lineage."""
     path = new_folder(df.sparkSession, label)
-    df.write.mode("append").parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
