@@ -9,12 +9,15 @@ all its places are filled, which is after a few ranks unless it is short.
 similarity 0.8 is missed with a chance of 3e-6, more alike pairs with less.
 
 **Grouping without pairs.** Documents with equal shingle sets are one class from the start. In a bucket, all classes
-are compared with its hubs, the smallest class of each of ``h`` salts, and not with each other; verified links are
-united at once. Only buckets that still hold classes of different components go on, without the hubs done, with four
-times as many salts. So copies of one text cost one comparison per class, and no bucket is cut short: the rounds end
-when in each bucket all classes left are in one component.
-
-**Verification.** Similarity is computed on the full sets of 52-bit shingle hashes: ``percent * union <= 100 *
+are compared with its hub and not with each other. The hub is the class that shares its buckets with most others, as the
+text does that the others were copied from. Verified links are united at once. Buckets that still hold classes of
+different components go on without the hubs done: there, hubs are taken from all but the bucket's largest component, one
+from each of ``h`` salts with ``h`` growing sixteenfold, and are compared with the classes of other components. So a
+group of copies costs about one comparison per class, and no bucket is cut short: the rounds end when in each bucket
+all classes left are in one component.
+
+**Verification.** Before a pair is formed, its sizes and 512-bit parity maps must allow the similarity; both bounds
+are exact, so they lose no link. Similarity is computed on the full sets of 52-bit shingle hashes: ``percent * union <= 100 *
 intersection``. Chance collisions inside one pair are below 1e-7 even for sets of 20,000 shingles.
 
 Defined cases: null texts and texts without words have no shingles, link with nothing and are kept; texts of fewer
@@ -25,6 +28,9 @@ class has an id, and is kept; an empty table gives an empty result. Only the id
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +45,7 @@ WIDTH = 4
 PERCENT = 80
 BANDS = 24
 ROWS = 4
+PARITY = tuple(f"_p{i}" for i in range(8))
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -96,9 +103,36 @@ def _band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(key + np.arange(1, bands + 1, dtype=np.uint64) * _GOLDEN).view(np.int64)
 
 
+def _parities(owner: np.ndarray, hashes: np.ndarray, n: int) -> list[np.ndarray]:
+    """A 512-bit map of each set in eight words: whether a bit's share of the elements is odd in number."""
+    place = mix(hashes + np.uint64(4)) >> np.uint64(55)
+    word, bit = place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63))
+    heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, dtype=np.int64)
+    out = []
+    for number in range(len(PARITY)):
+        bits = np.zeros(n, dtype=np.uint64)
+        if len(heads):
+            bits[owner[heads]] = np.bitwise_xor.reduceat(np.where(word == number, bit, np.uint64(0)), heads)
+        out.append(bits.view(np.int64))
+    return out
+
+
+def _alike(a: str, b: str, percent: int):
+    """Whether two classes can be similar enough, by their sizes and maps; never false for a pair that is.
+
+    Bits that differ are at most as many as the elements that only one set has, and those are at most
+    ``(100 - percent) / (100 + percent)`` of both sizes together.
+    """
+    n_a, n_b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    apart = reduce(add, [F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in PARITY])
+    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (
+        (100 + percent) * apart <= (100 - percent) * (n_a + n_b))
+
+
 def _sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     fields = [T.StructField("n_shingles", T.LongType()), T.StructField("_set1", T.LongType()),
-              T.StructField("_set2", T.LongType()), T.StructField("_bands", T.ArrayType(T.LongType()))]
+              T.StructField("_set2", T.LongType()), T.StructField("_bands", T.ArrayType(T.LongType())),
+              *[T.StructField(c, T.LongType()) for c in PARITY]]
 
     def compute():
         def work(texts):
@@ -114,7 +148,8 @@ def _sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
             signature = super_minhash(number[owner], hashes, len(filled), bands * rows)
             keys = _band_keys(signature, bands, rows)
             bounds = np.concatenate([[0], np.cumsum((size > 0) * bands)]).astype(np.int32)
-            return size, one, two, pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys.ravel()))
+            return [size, one, two, lists, *_parities(owner, hashes, n)]
 
         return work
 
@@ -160,12 +195,16 @@ def near_duplicates(
     same_set = ["n_shingles", "_set1", "_set2"]
     classes = save(
         sketches.filter("n_shingles > 0 AND _id IS NOT NULL").groupBy(*same_set)
-        .agg(F.min(F.struct("_id", "_bands")).alias("_first"))
-        .select(*same_set, F.col("_first._id").alias("_class"), F.col("_first._bands").alias("_bands")), "classes")
-
-    members = classes.select("_class", "n_shingles", F.explode("_bands").alias("bucket"))
-    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members, n_members = save_counted(members.join(crowded, "bucket"), "members")
+        .agg(F.min(F.struct("_id", "_bands", *PARITY)).alias("_first"))
+        .select(*same_set, F.col("_first._id").alias("_class"), "_first._bands",
+                *[f"_first.{c}" for c in PARITY]), "classes")
+
+    members = classes.select("_class", F.explode("_bands").alias("bucket"))
+    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = save(members.join(crowded, "bucket"), "members")
+    weights = members.groupBy("_class").agg(F.sum("n").alias("weight"))
+    weights = weights.join(classes.select("_class", "n_shingles", *PARITY), "_class")
+    members, n_members = save_counted(members.drop("n").join(weights, "_class"), "members")
     roots = None
     if n_members:
         wanted = members.select(F.col("_class").alias("_id")).distinct()
@@ -187,36 +226,44 @@ def near_duplicates(
 
 
 def _grouped(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Rounds of hubs against their buckets until no bucket holds more than one component."""
-    roots, salts = None, 1
+    """Rounds of hubs against their buckets until no bucket holds more than one component.
+
+    ``members`` has ``bucket, _class, n_shingles, weight`` and the parity map.
+    """
+    alone = F.col("_class").alias("component")
+    roots, salts, tested = None, 1, None
+    rooted = members.select("*", alone, F.lit(None).cast("long").alias("main"))
     while True:
+        salt = F.pmod(F.xxhash64("_class"), F.lit(salts))
         hubs = (
-            members.withColumn("salt", F.pmod(F.xxhash64("_class"), F.lit(salts)))
-            .groupBy("bucket", "salt").agg(F.min(F.struct("_class", "n_shingles")).alias("hub"))
-            .select("bucket", F.col("hub._class").alias("a"), F.col("hub.n_shingles").alias("n_a"))
+            rooted.filter("main IS NULL OR component <> main").groupBy("bucket", salt.alias("salt"))
+            .agg(F.max(F.struct("weight", -F.col("_class"), "_class", "n_shingles", "component", *PARITY)).alias("hub"))
+            .select("bucket", "hub._class", "hub.n_shingles", "hub.component", *[f"hub.{c}" for c in PARITY])
         )
+        hubs = save(hubs, "hubs")
+        meets = (F.col("m.component") != F.col("h.component")) & _alike("m", "h", percent)
+        ends = F.col("m._class"), F.col("h._class")
         pairs = (
-            members.join(hubs, "bucket")
-            .filter((F.col("a") != F.col("_class"))
-                    & (100 * F.least("n_a", "n_shingles") >= percent * F.greatest("n_a", "n_shingles")))
-            .select(F.least("a", "_class").alias("a"), F.greatest("a", "_class").alias("b"))
+            rooted.alias("m").join(hubs.alias("h"), (F.col("m.bucket") == F.col("h.bucket")) & meets)
+            .select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
         )
-        if roots is not None:
-            pairs = pairs.distinct()
-            for end in ("a", "b"):
-                pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"r_{end}")), end, "left")
-            pairs = pairs.filter(F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b")
-        links, n_links = save_counted(_verified(pairs.distinct(), sets, percent), "links")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = save(pairs, "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links, n_links = save_counted(_verified(pairs, sets, percent), "links")
         if n_links or roots is None:
             roots = _merge(roots, links)
-        left = members.join(hubs.select("bucket", F.col("a").alias("_class")), ["bucket", "_class"], "left_anti")
-        rooted = left.join(roots, F.col("_class") == F.col("node"), "left").withColumn(
-            "component", F.coalesce("root", "_class"))
+        left = rooted.join(hubs.select("bucket", "_class"), ["bucket", "_class"], "left_anti")
+        placed = left.drop("component", "main").join(roots, F.col("_class") == F.col("node"), "left").select(
+            "bucket", "_class", "n_shingles", "weight", *PARITY, F.coalesce("root", "_class").alias("component"))
+        # The largest component of a bucket is met by the others' hubs, never the other way round.
         open_buckets = (
-            rooted.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            .filter("lo < hi").select("bucket")
+            placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+            .groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("k"))
+            .filter("k > 1").select("bucket", "main")
         )
-        members, n_members = save_counted(left.join(open_buckets, "bucket"), "members")
+        rooted, n_members = save_counted(placed.join(open_buckets, "bucket"), "members")
         if not n_members:
             return roots
-        salts *= 4
+        salts *= 16
