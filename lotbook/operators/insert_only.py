@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lotbook.operators.lookup import BROADCAST_ROWS, lookup_join, touched_rows
 from lotbook.operators.surrogate import assign_surrogate, is_small, number_small
 from lotbook.schemas import DEFAULT_ID, TABLES
+from lotbook.sources.scratch import save_counted
 from lotbook.sources.store import Store, one_row
 
 
@@ -64,9 +65,11 @@ def append_new(
     """
     seen = Observation()
     add_default = with_default and lacks_default_member(store, table)
-    if not add_default and store.rows(table) and rows.isEmpty():
-        return 0, 0
     before = store.rows(table)
+    if not add_default and before:
+        rows, found = save_counted(rows, "new")  # the rows are worked out once, also if there are none
+        if not found:
+            return 0, 0
     out = with_stamps(rows, load_dt).select(*TABLES[table].columns).observe(seen, F.count(F.lit(1)).alias("n"))
     if add_default:
         out = out.unionByName(default_member(store, table, load_dt))

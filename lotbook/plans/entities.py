@@ -240,7 +240,7 @@ def load_dates(
 ) -> dict[str, int]:
     """Add the days the calendar does not have yet."""
     days = build_calendar(store.spark, first, last, anchor)
-    missing = not_in_table(days, store, "ce_dates", ["date"]).coalesce(1)
+    missing = not_in_table(days, store, "ce_dates", ["date"]).repartition(1)
     added, default_rows = append_new(store, "ce_dates", missing, load_dt)
     return {"New rows": added, "Default rows": default_rows}
 

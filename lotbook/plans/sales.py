@@ -82,7 +82,14 @@ def sales_to_load(
     feed has its id. An employee id with two spellings of the name
     gives one row per spelling.
     """
-    sales = texts = sale_rows(feed, slash_format)
+    texts = sale_rows(feed, slash_format)
+    # Rows that are not wanted go first, by their id alone, so the lookups only see what will be loaded.
+    online_ids = feed.filter(~is_offline()).select(F.col("id").alias("_sale"))
+    offline_ids = feed.filter(is_offline()).select(F.col("id").alias("_sale"))
+    wanted = prefer_primary(texts.filter(is_offline()), texts.filter(~is_offline()), offline_ids, "_sale",
+                            keys_from=online_ids).drop("_sale")
+    sales = not_in_table(wanted, store, "ce_sales", ["sale_src_id", "source_id"],
+                         keys_from=feed.select(*_sale_keys()))
     lookups = (
         (e.DEALERS, "_dealer"), (e.SALES_CHANNELS, "_channel"), (e.PAYMENT_METHODS, "_payment"),
         (e.CARS, "_car"), (e.EMPLOYEES, "_employee"),
@@ -99,15 +106,7 @@ def sales_to_load(
     customers, paths = save_counted(customer_ids(feed if people is None else people, store), "customer-ids")
     sales = lookup_join(sales, customers, list(CUSTOMER_PATH), null_safe=True, known_rows=paths,
                         keys_from=feed, free_text=True).drop(*CUSTOMER_PATH)
-
-    online_ids = feed.filter(~is_offline()).select(F.col("id").alias("_sale"))
-    offline_ids = feed.filter(is_offline()).select(F.col("id").alias("_sale"))
-    merged = prefer_primary(sales.filter(is_offline()), sales.filter(~is_offline()), offline_ids, "_sale",
-                            keys_from=online_ids)
-    found = merged.drop("_sale").distinct()
-    fresh = not_in_table(found, store, "ce_sales", ["sale_src_id", "source_id"],
-                         keys_from=feed.select(*_sale_keys()))
-    return fresh.select("sale_src_id", "source_id", *_SALE_IDS, *_MEASURES, *LINEAGE)
+    return sales.select("sale_src_id", "source_id", *_SALE_IDS, *_MEASURES, *LINEAGE).distinct()
 
 
 def load_sales(
