@@ -92,6 +92,26 @@ def name_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def name_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that are missing, blank, of one word, with a double space, or of three words, by order number."""
+    feed = tf.unstaged(spark, sf_dir).feed
+    kind = F.split("id", "-")[0].cast("long") % 5
+    name = (
+        F.when(kind == 1, F.col("country")).when(kind == 2, F.lit(""))
+        .when(kind == 3, F.concat("country", F.lit("  "), "brand"))
+        .when(kind == 4, F.concat_ws(" ", "country", "model", "brand"))
+    )
+    first, last = person_name(F.col("_name"))
+    return feed.withColumn("_name", name).select(
+        "id", "source_system", first.alias("first_name"), last.alias("last_name"))
+
+
+def long_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer, street and model as one key, stored in 30 characters."""
+    feed = tf.unstaged(spark, sf_dir).feed
+    return quality.cut_keys(feed, joined("customer_name", "street", "model"), 30)
+
+
 def key_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     building, postal = key_part(F.col("building")), key_part(F.col("postal"))
     return tf.unstaged(spark, sf_dir).feed.select(
@@ -396,6 +416,8 @@ def all_queries() -> dict[str, Query]:
         "cast_rejects": cast_rejects,
         "name_split": name_split,
         "key_concat": key_concat,
+        "name_edges": name_edges,
+        "long_keys": long_keys,
         "load_dealers": entity_load(e.DEALERS),
         "load_payment_methods": entity_load(e.PAYMENT_METHODS),
         "load_sales_channels": entity_load(e.SALES_CHANNELS),

@@ -560,6 +560,15 @@ FROM feed GROUP BY source_system""",
 SELECT id, source_system, {_first('customer_name')} AS customer_first_name, {_last('customer_name')}
   AS customer_last_name, {_first('employee_name')} AS employee_first_name, {_last('employee_name')}
   AS employee_last_name FROM feed""",
+        "name_edges": f"""
+SELECT id, source_system, {_first('name')} AS first_name, {_last('name')} AS last_name FROM (
+  SELECT id, source_system, CASE CAST(split_part(id, '-', 1) AS BIGINT) % 5 WHEN 1 THEN country WHEN 2 THEN ''
+    WHEN 3 THEN country || '  ' || brand WHEN 4 THEN country || ' ' || model || ' ' || brand END AS name
+  FROM feed) AS f""",
+        "long_keys": """
+SELECT substr(k, 1, 30) AS stored, count(*) AS n_keys, count(*) FILTER (WHERE length(k) > 30) AS n_cut
+FROM (SELECT DISTINCT concat(customer_name, '_', street, '_', model) AS k FROM feed) AS f
+GROUP BY substr(k, 1, 30) HAVING count(*) FILTER (WHERE length(k) > 30) > 0""",
         "key_concat": """
 SELECT id, source_system, concat(state, '_', -1) AS state_key,
   concat(street, '_', -1, '_', coalesce(building, 'N. A.'), '_', coalesce(postal, 'N. A.')) AS address_key,

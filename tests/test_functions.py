@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotbook.functions import casts, dates, text
+from lotbook.operators import quality
+from tests.conftest import rows
 
 UNKNOWN = dt.date(1900, 1, 1)
 
@@ -98,3 +100,8 @@ def test_calendar_attributes(spark):
     assert one(spark, day, dates.is_weekend, "date") == "Y"
     assert one(spark, dt.date(2022, 5, 2), dates.is_weekend, "date") == "N"
     assert one(spark, dt.date(2022, 9, 7), dates.weekday_name, "date") == "Wednesday"
+
+
+def test_cut_keys_are_counted_by_their_stored_form(spark):
+    keys = spark.createDataFrame([("abcdef",), ("abcdef",), ("abcxyz",), ("abc",), ("xy",), (None,)], "k string")
+    assert rows(quality.cut_keys(keys, F.col("k"), 3)) == [("abc", 3, 2)]
