@@ -46,6 +46,30 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP2_SQL = r"""
+WITH RECURSIVE
+spoken AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM spoken WHERE len(w) >= 4)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM spoken WHERE len(w) BETWEEN 1 AND 3),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles AS a JOIN shingles AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach AS (
+  SELECT doc_id, doc_id AS node FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.node)
+SELECT doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(node) AS component_id, doc_id = min(node) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_rules.apply_rules(docs, labels.filter("quality = 1"), keep=["doc_id"])
@@ -127,4 +151,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_statements() -> dict[str, str]:
-    return {"op9_url_filter": OP9_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op9_url_filter": OP9_SQL}
