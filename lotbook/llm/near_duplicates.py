@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotbook.llm import bloom
 from lotbook.llm.components import components
 from lotbook.llm.text_arrays import LOWER, Texts, distinct, mix, multipliers, per_text, sums, windows
 from lotbook.sources.scratch import save, save_counted
@@ -207,8 +208,10 @@ def near_duplicates(
     members, n_members = save_counted(members.drop("n").join(weights, "_class"), "members")
     roots = None
     if n_members:
-        wanted = members.select(F.col("_class").alias("_id")).distinct()
-        sets = save(_sets(docs.join(wanted, "_id", "left_semi"), width).dropDuplicates(["_id"]), "sets")
+        wanted, n_wanted = save_counted(members.select(F.col("_class").alias("_id")).distinct(), "wanted")
+        # Texts are not shuffled but for those the filter lets through.
+        likely = bloom.marked(docs, "_id", bloom.build(wanted, "_id", n_wanted), "_hit").filter("_hit").drop("_hit")
+        sets = save(_sets(likely.join(wanted, "_id", "left_semi"), width).dropDuplicates(["_id"]), "sets")
         roots = _grouped(members, sets, percent)
 
     found = classes.select(*same_set, "_class")

@@ -3,11 +3,10 @@
 **Rules** name a host, with all its subdomains, and a path prefix; the longest rule that fits decides. They are code, a
 few entries, and become one expression.
 
-**List.** Listed URLs are brought to a canonical form and hashed. The filter is a table of blocks of four 64-bit words;
-a URL sets one bit in each word of one block. A URL whose bits are all set is a possible hit, and only possible hits go
-to the exact hash join with the list, which removes the false ones. The filter's size is fixed by the number of listed
-URLs up to ``MAX_BLOCKS`` blocks (5 MB), so it can always be broadcast; a longer list gives more possible hits and the
-same result.
+**List.** Listed URLs are brought to a canonical form and set in a blocked Bloom filter (:mod:`lotbook.llm.bloom`). A
+URL whose bits are all set is a possible hit, and only possible hits go to the exact hash join with the list, which
+removes the false ones. The filter's size is fixed by the number of listed URLs up to ``MAX_BLOCKS`` blocks (5 MB), so
+it can always be broadcast; a longer list gives more possible hits and the same result.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from there up to ``?``,
 ``#`` or the end; both are empty without ``://`` and for null. Defined cases: a null or shapeless URL fits no rule and is
@@ -22,10 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotbook.llm import bloom
 from lotbook.sources.scratch import save_counted
 
-URLS_PER_BLOCK = 16  # 16 bits a URL: about one false hit in 400
-MAX_BLOCKS = 1 << 17
+MAX_BLOCKS = bloom.MAX_BLOCKS
 _PARTS = r"^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,20 +58,6 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
     return F.array_max(F.filter(entries, lambda e: e.isNotNull()))
 
 
-def bloom_filter(listed: DataFrame, n_listed: int) -> tuple[DataFrame, int]:
-    """Blocks of the filter over ``listed`` (column ``url``, distinct): ``block, w0 .. w3``; and how many there are."""
-    blocks = max(1, min(MAX_BLOCKS, -(-n_listed // URLS_PER_BLOCK)))
-    masks = listed.select(
-        F.pmod(F.xxhash64("url"), F.lit(blocks)).cast("int").alias("block"),
-        F.xxhash64("url", F.lit(1)).alias("_bits")).select("block", *[_mask(i).alias(f"w{i}") for i in range(4)])
-    return masks.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(4)]), blocks
-
-
-def _mask(word: int) -> Column:
-    """One of the 64 bits of a word, chosen by six bits of ``_bits``."""
-    return F.expr(f"shiftleft(1L, cast(shiftrightunsigned(_bits, {6 * word}) & 63L as int))")
-
-
 def judge(
     pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataFrame, *, url_col: str = "url",
     listed_col: str = "url", keep: Sequence[str] | None = None,
@@ -91,17 +76,10 @@ def judge(
     own = F.col(listed_col)
     entries, n_listed = save_counted(
         listed.select(canonical(host(own), path(own)).alias("url")).filter("url IS NOT NULL").distinct(), "listed")
-    filter_table, blocks = bloom_filter(entries, n_listed)
-    asked = ruled.withColumn("block", F.when(F.col("_rule").isNull(), F.pmod(
-        F.xxhash64("_url"), F.lit(blocks)).cast("int"))).withColumn("_bits", F.xxhash64("_url", F.lit(1)))
-    # At most MAX_BLOCKS rows of five numbers.
-    tested = asked.join(F.broadcast(filter_table), "block", "left")
-    possible = F.lit(True)
-    for i in range(4):
-        possible = possible & (F.col(f"w{i}").bitwiseAND(_mask(i)) != 0)
-    tested = tested.withColumn("_possible", F.when(F.coalesce(possible, F.lit(False)), F.col("_url")))
+    ruled = ruled.withColumn("_open", F.when(F.col("_rule").isNull(), F.col("_url")))
+    tested = bloom.marked(ruled, "_open", bloom.build(entries, "url", n_listed, MAX_BLOCKS), "_hit")
+    tested = tested.withColumn("_possible", F.when(F.col("_hit"), F.col("_open"))).drop("_hit", "_open")
     exact = entries.select(F.col("url").alias("_possible"), F.lit(True).alias("_listed"))
-    # Rows that cannot be listed get a key of their own by row, so that they spread over the join's partitions.
     hits = tested.filter(F.col("_possible").isNotNull()).join(exact.hint("shuffle_hash"), "_possible", "left")
     rest = tested.filter(F.col("_possible").isNull()).withColumn("_listed", F.lit(None).cast("boolean"))
     both = hits.select(*rest.columns).unionByName(rest)
