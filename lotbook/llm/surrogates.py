@@ -38,16 +38,20 @@ _MALE = r"Mr|Herrn?|Monsieur|Señor|Sr|господин[ау]?|г-н"
 _FEMALE = r"Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Srta|госпож[аеу]|г-жа"
 _PART = r"[A-ZÀ-ÖØ-ÞĀ-ŽА-ЯЁ][a-zß-öø-ÿā-žа-яё'’-]+"
 #: Only texts in which this is found are searched for entities.
-HINT = r"[0-9@]|\b(?:Mr|Herrn?|Monsieur|Señor|Sr|Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Sra|Srta)\b|Señor|господин|госпож|г-н|г-жа"
+HINT = (r"[0-9@]|\b(?:Mr|Herrn?|Monsieur|Señor|Sr|Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Sra|Srta)\b"
+        r"|Señor|господин|госпож|г-н|г-жа")
 PATTERN = re.compile(
     r"(?P<secret>(?:(?i:\b(?:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd))[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
     r"(?P<value>[A-Za-z0-9+/_\-]{12,512}={0,2}))"
-    r"|(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,62}[A-Za-z0-9_+\-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,6}[A-Za-z]{2,24})"
-    r"|(?P<bare>(?<![A-Za-z0-9])(?:(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,60}|sk-[A-Za-z0-9]{20,60})(?![A-Za-z0-9]))"
+    r"|(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,62}[A-Za-z0-9_+\-])?"
+    r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,6}[A-Za-z]{2,24})"
+    r"|(?P<bare>(?<![A-Za-z0-9])(?:(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{32,128}"
+    r"|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,60}|sk-[A-Za-z0-9]{20,60})(?![A-Za-z0-9]))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?: ?[0-9]{4}){2,7}(?: ?[0-9]{1,3})?|[A-Z]{4}[0-9]{6,22})(?![A-Za-z0-9]))"
     r"|(?P<ip>(?<![A-Za-z0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9]))"
     r"|(?P<ssn>(?<![A-Za-z0-9+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
-    r"|(?P<phone>(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,5}){1,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
+    r"|(?P<phone>(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,5}){1,4}"
+    r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
     r"|(?P<card>(?<![A-Za-z0-9+])(?:[0-9][ -]?){12,18}[0-9](?![0-9]))"
     rf"|\b(?:(?P<male>{_MALE})|(?P<female>{_FEMALE}))\b\.? (?P<name>{_PART}(?: {_PART}){{0,2}})"
 )
@@ -280,15 +284,16 @@ def replace_personal_data(
     none = F.lit(0).cast("long").alias(count_col)
     clean = found.filter(F.size("_pieces") == 0).select(*keep, none)
     dirty = found.filter(F.size("_pieces") > 0)
-    pieces = dirty.select("_row", F.posexplode("_pieces").alias("_place", "_piece")).select("_row", "_place", "_piece.*")
-    made = distinct_surrogates(pieces.filter("kind <> ''").select("kind", "value").distinct(), key.encode())
-    parts = pieces.join(made, ["kind", "value"], "left").select(
-        "_row", F.struct("_place", F.concat("lead", _shown("kind", "shown", "surrogate")).alias("part")).alias("_part"))
-    texts = parts.groupBy("_row").agg(F.array_sort(F.collect_list("_part")).alias("_parts")).select(
-        "_row", F.array_join(F.col("_parts.part"), "").alias("_new"),
-        (F.size("_parts") - 1).cast("long").alias("_count"))
-    rest = [c for c in keep if c.lower() != text_col.lower()]
-    changed = dirty.select("_row", *rest).join(texts, "_row").select(
-        *[F.col("_new").alias(c) if c.lower() == text_col.lower() else F.col(c) for c in keep],
-        F.col("_count").alias(count_col))
+    # Only the entities go to the join with their surrogates; the text between them stays with its row.
+    marks = dirty.select("_row", F.posexplode("_pieces").alias("_place", "_piece")).select(
+        "_row", "_place", "_piece.kind", "_piece.value", "_piece.shown").filter("kind <> ''")
+    made = distinct_surrogates(marks.select("kind", "value").distinct(), key.encode())
+    placed = marks.join(made, ["kind", "value"]).select(
+        "_row", F.struct("_place", _shown("kind", "shown", "surrogate").alias("new")).alias("_new"))
+    news = placed.groupBy("_row").agg(F.array_sort(F.collect_list("_new")).alias("_news"))
+    text = F.array_join(F.transform("_pieces", lambda piece, i: F.concat(
+        piece["lead"], F.coalesce(F.get("_news", i)["new"], F.lit("")))), "")
+    changed = dirty.join(news, "_row").select(
+        *[text.alias(c) if c.lower() == text_col.lower() else F.col(c) for c in keep],
+        F.size("_news").cast("long").alias(count_col))
     return clean.unionByName(changed)
