@@ -37,9 +37,11 @@ MAX_ATTEMPTS = 64
 _MALE = r"Mr|Herrn?|Monsieur|Señor|Sr|господин[ау]?|г-н"
 _FEMALE = r"Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Srta|госпож[аеу]|г-жа"
 _PART = r"[A-ZÀ-ÖØ-ÞĀ-ŽА-ЯЁ][a-zß-öø-ÿā-žа-яё'’-]+"
-#: Only texts in which this is found are searched for entities.
+#: Only texts in which this is found are searched for entities; whatever PATTERN finds holds one of these.
 HINT = (r"[0-9@]|\b(?:Mr|Herrn?|Monsieur|Señor|Sr|Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Sra|Srta)\b"
-        r"|Señor|господин|госпож|г-н|г-жа")
+        r"|Señor|господин|госпож|г-н|г-жа"
+        r"|(?i:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd)"
+        r"|AKIA|gh[pousr]_|sk-|[A-Fa-f]{32}")
 PATTERN = re.compile(
     r"(?P<secret>(?:(?i:\b(?:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd))[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
     r"(?P<value>[A-Za-z0-9+/_\-]{12,512}={0,2}))"

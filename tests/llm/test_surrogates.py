@@ -73,6 +73,19 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert not {r["surrogate"] for r in rows} & {r["value"] for r in rows}
 
 
+def test_entities_without_a_digit_are_found(spark):
+    keys = ["api_key", "API-KEY", "access_key", "AccessKey", "secret", "Token", "password", "passwd", "PWD"]
+    texts = [f"{k}: correct-horse-battery" for k in keys] + [
+        "abcdefabcdef" * 3, "AKIA" + "ABCDEFGH" * 2, *[f"gh{c}_" + "abcDEF" * 6 for c in "pousr"], "sk-" + "abcDEF" * 4,
+        "ann@example.com", *[f"{h} Lee" for h in "Mr Herr Herrn Monsieur Sr Mrs Ms Miss Frau Madame Mme Mlle".split()],
+        *[f"{h} Lee" for h in "Señor Señora Señorita Sra Srta".split()],
+        *[f"{h} Петров" for h in "господин господина господину г-н госпожа госпоже госпожу г-жа".split()]]
+    assert not any(c.isdigit() for t in texts for c in t)
+    found = replaced(spark, texts)
+    assert [found[i]["n_surrogates"] for i in range(len(texts))] == [1] * len(texts)
+    assert all(found[i]["text"] != t for i, t in enumerate(texts))
+
+
 def test_key_decides_and_reruns_agree(spark):
     text = "mail ann@example.com now"
     one, same, other = (replaced(spark, [text, text], key=k) for k in ("a", "a", "b"))
