@@ -42,20 +42,24 @@ HINT = (r"[0-9@]|\b(?:Mr|Herrn?|Monsieur|Señor|Sr|Mrs|Ms|Miss|Frau|Madame|Mme|M
         r"|Señor|господин|госпож|г-н|г-жа"
         r"|(?i:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd)"
         r"|AKIA|gh[pousr]_|sk-|[A-Fa-f]{32}")
+_HOST = r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}"
+#: Entities have no upper bound but that of their format. Each run of characters is scanned from its start only, where an
+#: address may be of any length; "mail" is one that goes on right behind another entity, within the 64 of a local part.
 PATTERN = re.compile(
     r"(?P<secret>(?:(?i:\b(?:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd))[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
-    r"(?P<value>[A-Za-z0-9+/_\-]{12,512}={0,2}))"
-    r"|(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,62}[A-Za-z0-9_+\-])?"
-    r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,6}[A-Za-z]{2,24})"
-    r"|(?P<bare>(?<![A-Za-z0-9])(?:(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{32,128}"
-    r"|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,60}|sk-[A-Za-z0-9]{20,60})(?![A-Za-z0-9]))"
+    rf"(?![A-Za-z0-9._%+\-]++{_HOST})"  # an address behind a keyword is replaced as one
+    r"(?P<value>(?=[+/_.\-]*+[A-Za-z0-9])[A-Za-z0-9+/_\-][A-Za-z0-9+/_.\-]{10,}[A-Za-z0-9+/_\-]={0,2}))"
+    rf"|(?<![A-Za-z0-9._%+\-])[._%+\-]*+(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+\-]*[A-Za-z0-9_+\-])?{_HOST})"
+    rf"|(?P<mail>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{{0,62}}[A-Za-z0-9_+\-])?{_HOST})"
+    r"|(?P<bare>(?<![A-Za-z0-9])(?:(?=[0-9]*+[A-Fa-f])[0-9A-Fa-f]{32,}+"
+    r"|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}+|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9]))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?: ?[0-9]{4}){2,7}(?: ?[0-9]{1,3})?|[A-Z]{4}[0-9]{6,22})(?![A-Za-z0-9]))"
     r"|(?P<ip>(?<![A-Za-z0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9]))"
     r"|(?P<ssn>(?<![A-Za-z0-9+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<phone>(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,5}){1,4}"
     r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
     r"|(?P<card>(?<![A-Za-z0-9+])(?:[0-9][ -]?){12,18}[0-9](?![0-9]))"
-    rf"|\b(?:(?P<male>{_MALE})|(?P<female>{_FEMALE}))\b\.? (?P<name>{_PART}(?: {_PART}){{0,2}})"
+    rf"|\b(?:(?P<male>{_MALE})|(?P<female>{_FEMALE}))\b\.? (?P<name>{_PART}(?: {_PART})*+)"
 )
 
 
@@ -75,6 +79,8 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
             kind, (start, end) = "secret", found.span("value")
         elif found["bare"]:
             kind, (start, end) = "secret", found.span("bare")
+        elif found["mail"]:
+            kind, (start, end) = "email", found.span("mail")
         else:
             kind = next(k for k in ("email", "iban", "ip", "ssn", "phone", "card") if found[k])
             start, end = found.span(kind)

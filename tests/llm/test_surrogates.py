@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from lotbook.llm import surrogates
@@ -86,6 +88,34 @@ def test_entities_without_a_digit_are_found(spark):
     assert all(found[i]["text"] != t for i, t in enumerate(texts))
 
 
+def test_long_entities_are_replaced_to_their_end(spark):
+    draw = random.Random(9)
+    long = "".join(draw.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789") for _ in range(1200))
+    wanted = {
+        f"token = {long}": [long], f"secret: {long[:40]}.{long[40:700]}.{long[700:743]}": [f"{long[:40]}.{long[40:700]}.{long[700:743]}"],
+        "password: correct-horse.battery. Then": ["correct-horse.battery"], "password: ............": [],
+        "a1b2c3d4" * 17: ["a1b2c3d4" * 17], "ghp_" + long[:100]: ["ghp_" + long[:100]], "sk-" + long[:164]: ["sk-" + long[:164]],
+        "Mr. Juan Carlos Maria Garcia Lopez left": ["Juan", "Carlos", "Maria", "Garcia", "Lopez"],
+        f"to .{'ab.' * 30}c@example.com": [f"{'ab.' * 30}c@example.com"], f"{'q' * 90}@{'z' * 70}.com": [f"{'q' * 90}@{'z' * 70}.com"],
+        "ann@aa.bb.cc.dd.ee.ff.gg.hh.example.com": ["ann@aa.bb.cc.dd.ee.ff.gg.hh.example.com"],
+        "token: annabel.lee.jones@example.com": ["annabel.lee.jones@example.com"],
+        "+1 (961) 555-6946.ann@example.com": ["+1 (961) 555-6946", "ann@example.com"],
+    }
+    for text, parts in wanted.items():
+        assert [text[start:end] for start, end, _, _ in surrogates.entities(text)] == parts
+    found = replaced(spark, list(wanted))
+    for i, (text, parts) in enumerate(wanted.items()):
+        assert found[i]["n_surrogates"] == len(parts) and (found[i]["text"] != text) == bool(parts)
+        assert not any(part in found[i]["text"] for part in parts)
+
+
+@pytest.mark.parametrize("run", ["a.", "a-", "--", "a1", "a@", "x@b.", "12", "+1", "token:", "token: ..", "Mr. "])
+def test_long_runs_take_linear_time(run):
+    start = time.process_time()
+    list(surrogates.entities(run * 100_000))
+    assert time.process_time() - start < 20
+
+
 def test_key_decides_and_reruns_agree(spark):
     text = "mail ann@example.com now"
     one, same, other = (replaced(spark, [text, text], key=k) for k in ("a", "a", "b"))
