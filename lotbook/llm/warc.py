@@ -11,8 +11,9 @@ tags, links) and a ``conversion`` record (all visible text). Both carry WARC-Ref
 URI and date, its digests under WARC-Source-* names, and digests of their own. Ids are derived from the source's id, so
 that reruns agree.
 
-Bodies are decoded from chunked transfer and from gzip or deflate, at most ``MAX_BODY`` bytes, beyond which the metadata
-say so; text by the charset of the HTTP header, of a meta tag, or UTF-8, and wrong bytes become U+FFFD.
+Bodies are decoded whole from chunked transfer and from gzip, of all members, or deflate; the metadata say so where the
+stored body ends early or is not what its headers name. Text is read by the charset of the HTTP header, of a meta tag,
+or UTF-8, and wrong bytes become U+FFFD.
 
 Defined cases: a null block is empty; a response without an HTTP header is all body; a null target URI stays out of the
 headers; records of other types have no derivatives; repeated rows give repeated derivatives; an empty table gives an
@@ -39,7 +40,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from lotbook.llm.main_text import blocks
 
 VERSION = "WARC/1.0"
-MAX_BODY = 64 << 20
+#: Derivatives are handed on when their blocks reach this many bytes together.
+BATCH_BYTES = 32 << 20
 RECORD = T.StructType([
     T.StructField("type", T.StringType()), T.StructField("record_id", T.StringType()),
     T.StructField("target_uri", T.StringType()), T.StructField("date", T.StringType()),
@@ -172,35 +174,53 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return status, parse_headers(rest), body
 
 
-def _unchunked(body: bytes) -> bytes:
+def _unchunked(body: bytes) -> tuple[bytes, bool]:
+    """The chunks' data, and whether the last chunk was reached; a body that does not start with a chunk is as it is."""
     out, at = [], 0
     while (end := body.find(b"\r\n", at)) >= 0:
         size = body[at:end].split(b";")[0].strip()
-        if not re.fullmatch(rb"[0-9a-fA-F]{1,8}", size):
-            return body if not out else b"".join(out)
-        if not int(size, 16):
+        if not re.fullmatch(rb"[0-9a-fA-F]+", size):
             break
+        if not int(size, 16):
+            return b"".join(out), True
         out.append(body[end + 2 : end + 2 + int(size, 16)])
         at = end + 4 + int(size, 16)
-    return b"".join(out) if out else body
+    return (b"".join(out), False) if out else (body, True)
+
+
+def _inflated(body: bytes, bits: int) -> tuple[bytes, bool]:
+    """All members' data, and whether the last one reached its end; an error if not even the first can be read."""
+    out, complete = [], False
+    while body:
+        stream = zlib.decompressobj(bits)
+        try:
+            out.append(stream.decompress(body) + stream.flush())
+        except zlib.error:
+            if not out:
+                raise
+            return b"".join(out), False
+        complete, body = stream.eof, stream.unused_data
+        if not body.startswith(b"\x1f\x8b"):
+            break  # what follows is padding, no member
+    return b"".join(out), complete
 
 
 def decoded_body(headers: Sequence[tuple[str, str]], body: bytes) -> tuple[bytes, bool]:
     """The body without transfer and content encodings, and whether all of it is there."""
     named = {name.lower(): value.lower() for name, value in headers}
+    complete = True
     if "chunked" in named.get("transfer-encoding", ""):
-        body = _unchunked(body)
+        body, complete = _unchunked(body)
     encoding = named.get("content-encoding", "")
-    if "gzip" in encoding or "deflate" in encoding:
+    if body and ("gzip" in encoding or "deflate" in encoding):
         for bits in (47, -15):
             try:
-                stream = zlib.decompressobj(bits)
-                out = stream.decompress(body, MAX_BODY)
-                return out, not stream.unconsumed_tail
+                out, ended = _inflated(body, bits)
+                return out, complete and ended
             except zlib.error:
                 continue
         return body, False
-    return body[:MAX_BODY], len(body) <= MAX_BODY
+    return body, complete
 
 
 def decoded_text(headers: Sequence[tuple[str, str]], body: bytes) -> str:
@@ -276,12 +296,15 @@ def derivatives(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                owner, found = [], []
+                owner, found, size = [], [], 0
                 for row, record in enumerate(_rows(part.select(RECORD.names))):
                     new = derivatives_of(record)
                     owner += [row] * len(new)
                     found += new
-                at = pa.array(owner, pa.int64())
-                yield _batch(found, schema, {c: part.column(c).take(at) for c in keep})
+                    size += sum(len(r["block"]) for r in new)
+                    if size >= BATCH_BYTES or row == part.num_rows - 1:
+                        at = pa.array(owner, pa.int64())
+                        yield _batch(found, schema, {c: part.column(c).take(at) for c in keep})
+                        owner, found, size = [], [], 0
 
     return records.select(*keep, *RECORD.names).mapInArrow(run, schema)

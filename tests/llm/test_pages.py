@@ -5,6 +5,7 @@ import itertools
 import json
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,29 @@ def test_encodings_and_damage(spark, tmp_path):
     assert back["<urn:y>"]["damaged"] and warc.derivatives_of(back["<urn:y>"].asDict()) == []
 
 
+def test_bodies_are_decoded_whole(spark, monkeypatch):
+    packed = [("Content-Encoding", "gzip")]
+    one, two = gzip.compress(b"<p>one</p>"), gzip.compress(b"<p>two</p>")
+    assert warc.decoded_body(packed, one + two) == (b"<p>one</p><p>two</p>", True)
+    assert warc.decoded_body(packed, one + two + b"\0" * 9) == (b"<p>one</p><p>two</p>", True)
+    assert warc.decoded_body(packed, one + two[:-9])[1] is False
+    assert warc.decoded_body(packed, one + two[:10] + b"\xff" * 20) == (b"<p>one</p>", False)
+    assert warc.decoded_body(packed, one[:-1]) == (b"<p>one</p>", False)
+    assert warc.decoded_body(packed, b"") == (b"", True)
+    assert warc.decoded_body([("Content-Encoding", "deflate")], zlib.compress(b"text")[2:-4]) == (b"text", True)
+    chunked = [("Transfer-Encoding", "chunked")]
+    assert warc.decoded_body(chunked, b"3\r\nabc\r\n0\r\n\r\n") == (b"abc", True)
+    for cut in (b"3\r\nabc\r\n", b"3\r\nabc\r\n9\r\nde", b"3\r\nabc\r\nx\r\nde"):
+        assert warc.decoded_body(chunked, cut)[1] is False
+    assert warc.decoded_body(chunked, b"plain\r\ntext") == (b"plain\r\ntext", True)
+    long = b"a" * ((64 << 20) + 9)
+    assert warc.decoded_body([], long) == (long, True) == warc.decoded_body(packed, gzip.compress(long, 1))
+    monkeypatch.setattr(warc, "BATCH_BYTES", 1)
+    source = warc.responses(pages(spark, [(i, "u", PAGE) for i in range(9)]))
+    found = warc.derivatives(source, keep=["page_id"]).collect()
+    assert sorted(r["page_id"] for r in found) == sorted([*range(9)] * 2)
+
+
 URLS = [None, "", "nothing", "http://", "http://A.Example.NET/en/1?x#y", "http://a.example.net/en", "http://example.net",
         "http://example.net/", "https://badexample.net/en/", "http://x.org/fr/1", "http://org/fr/", "http://x.org/FR/",
         "http://m.example.com/de/5#t", "http://www.listed.example.com/a/", "http://listed.example.com/a?b",
