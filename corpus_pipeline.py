@@ -13,6 +13,8 @@ from lotbook.llm import mixing, near_duplicates, packing, quality_model, surroga
 from lotbook.llm.queries import SOURCE_WEIGHTS, SURROGATE_KEY, table
 from lotbook.sources.scratch import save
 
+SHINGLE_WORDS = 5  # the operator's own query takes four
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine rates 0.5 or better."""
@@ -23,7 +25,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the least id; rows without an id stay."""
-    kept = near_duplicates.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    found = near_duplicates.near_duplicates(docs, width=SHINGLE_WORDS)
+    kept = found.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     same_id = Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"])
     single = (
         docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(same_id))

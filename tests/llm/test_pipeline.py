@@ -54,3 +54,41 @@ def test_each_stage_takes_effect(spark, folder, tmp_path):
 
 def test_run_applies_all_stages(spark, folder):
     assert set(corpus_pipeline.run(spark, folder).columns) >= {"doc_id", "piece", "sequence_id", "offset"}
+
+
+def test_near_duplicates_share_shingles_of_five_words(spark, tmp_path):
+    draw = random.Random(12)
+    texts = {}
+    for group in range(12):
+        words = [f"w{group}x{n}" for n in range(40 + 3 * group)]
+        for member in range(6):
+            changed = list(words)
+            for _ in range(member % 3):
+                changed[draw.choice([0, 1, 2, 20, 30, -1])] = f"new{group}x{member}"
+            texts[100 * group + member] = " ".join(changed)
+        texts[100 * group + 50] = " ".join([*words[:20], "inner", *words[21:]])
+
+    def kept(width):
+        sets = {}
+        for i, text in texts.items():
+            words = text.split()
+            sets[i] = {tuple(words[n : n + width]) for n in range(len(words) - width + 1)}
+        root = {i: i for i in texts}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for a in sets:
+            for b in sets:
+                if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    low, high = sorted((find(a), find(b)))
+                    root[high] = low
+        return {i for i in texts if find(i) == i}
+
+    assert kept(4) < kept(5) < set(texts)
+    docs = documents(spark, [(i, text, "a") for i, text in texts.items()])
+    docs.write.parquet(str(tmp_path / "docs"))
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    assert {r["doc_id"] for r in stage(spark, spark.read.parquet(str(tmp_path / "docs")), "").collect()} == kept(5)
