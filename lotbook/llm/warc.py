@@ -2,9 +2,10 @@
 
 Records are rows: ``type, record_id, target_uri, date, content_type, headers`` (all named fields as a map), ``block``
 (bytes) and ``damaged``. Files are read and written with Spark's text source, so large files are split, gzip files are
-streamed, and any path that Spark can open will do: the separator between two records is the line separator. A record
-whose block is shorter than its Content-Length, because the separator occurs in its data or the file ends early, is
-marked damaged and has no derivatives; it stays in the table.
+streamed, and any path that Spark can open will do: the separator between two WARC/1.0 records is the line separator.
+Records of other versions in a line are told apart by their Content-Length; such a stretch is one task's and one row's.
+A record whose block is shorter than its Content-Length, because the separator occurs in its data or the file ends
+early, or is followed by bytes that are no record, is marked damaged and has no derivatives; it stays in the table.
 
 Each sound response gives a ``metadata`` record (JSON: the source's WARC fields, status and HTTP headers, title, meta
 tags, links) and a ``conversion`` record (all visible text). Both carry WARC-Refers-To with the source's id, its target
@@ -50,6 +51,9 @@ RECORD = T.StructType([
 ])
 _FIELDS = {"WARC-Type": "type", "WARC-Record-ID": "record_id", "WARC-Target-URI": "target_uri", "WARC-Date": "date",
            "Content-Type": "content_type"}
+#: What may follow a block: line ends, then a record or the end. And what a record looks like behind a damaged one.
+_BEHIND = re.compile(rb"[\r\n]*(?=WARC/[0-9]+\.[0-9]+\r\n|\Z)")
+_SEPARATOR = re.compile(rb"\r\n\r\n(?=WARC/[0-9]+\.[0-9]+\r\n)")
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
 
 
@@ -73,17 +77,38 @@ def parse_headers(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def parse_record(raw: bytes) -> dict:
-    """A record from its bytes, with or without the version line and the closing line ends."""
-    if raw.startswith(b"WARC/"):
-        raw = raw.partition(b"\r\n")[2]
-    head, _, block = raw.partition(b"\r\n\r\n")
-    fields = dict(parse_headers(head.decode("utf-8", "replace")))
+def _record(raw: bytes, at: int) -> tuple[dict, int]:
+    """The record at a place in the bytes, with or without its version line, and the place of the next one."""
+    start = raw.find(b"\r\n", at) + 2 if raw.startswith(b"WARC/", at) else at
+    border = raw.find(b"\r\n\r\n", start)
+    first = border + 4 if border >= 0 else len(raw)
+    fields = dict(parse_headers(raw[start : border if border >= 0 else len(raw)].decode("utf-8", "replace")))
     names = {n.lower(): n for n in fields}
     size = fields.get(names.get("content-length", ""), "")
-    whole = size.isdigit() and len(block) >= int(size)
+    last = first + int(size) if size.isascii() and size.isdigit() else len(raw) + 1
+    behind = _BEHIND.match(raw, last) if last <= len(raw) else None
+    whole = behind is not None
+    if not whole:
+        # Too short, or followed by bytes that are no record: all up to the next record is kept.
+        behind = _SEPARATOR.search(raw, first)
+        last = behind.start() if behind else len(raw)
     out = {column: fields.get(names.get(name.lower(), "")) for name, column in _FIELDS.items()}
-    return {**out, "headers": fields, "block": block[: int(size)] if whole else block, "damaged": not whole}
+    record = {**out, "headers": fields, "block": raw[first:last], "damaged": not whole}
+    return record, behind.end() if behind else len(raw)
+
+
+def parse_record(raw: bytes) -> dict:
+    """The first record of bytes, with or without the version line and the closing line ends."""
+    return _record(raw, 0)[0]
+
+
+def parse_records(raw: bytes) -> list[dict]:
+    """All records of bytes, of any version: behind a record's Content-Length the next is looked for."""
+    out, at = [], 0
+    while at < len(raw) and (out or raw.strip()):
+        record, at = _record(raw, at)
+        out.append(record)
+    return out
 
 
 def format_record(record: dict) -> bytes:
@@ -104,8 +129,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = [parse_record(raw.as_py()) for raw in batch.column("raw") if raw.as_py().strip()]
-            yield _batch(found, RECORD, {})
+            for raw in batch.column("raw"):
+                yield _batch(parse_records(raw.as_py()), RECORD, {})
 
     return lines.select(F.col("value").cast("binary").alias("raw")).mapInArrow(run, RECORD)
 

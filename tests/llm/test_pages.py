@@ -149,6 +149,22 @@ def test_bodies_are_decoded_whole(spark, monkeypatch):
     assert sorted(r["page_id"] for r in found) == sorted([*range(9)] * 2)
 
 
+def test_records_of_any_version_are_all_read(spark, tmp_path):
+    def made(version, name, block, size=None):
+        return b"WARC/%s\r\nWARC-Record-ID: %s\r\nContent-Length: %d\r\n\r\n%s" % (
+            version, name, len(block) if size is None else size, block)
+
+    gap = b"\r\n\r\n"
+    inner = b"a" + gap + b"WARC/1.1\r\nX: y" + gap + b"b"
+    (tmp_path / "a.warc").write_bytes(gap.join([
+        made(b"1.1", b"a", b"one"), made(b"1.1", b"b", inner), made(b"0.18", b"c", b""), made(b"1.1", b"d", b"two", 2),
+        made(b"1.1", b"e", b"short", 10**6), made(b"1.0", b"f", b"three"), made(b"1.1", b"g", b"four")]) + gap)
+    found = {r["record_id"]: (bytes(r["block"]), r["damaged"]) for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    assert found == {"a": (b"one", False), "b": (inner, False), "c": (b"", False), "d": (b"two", True),
+                     "e": (b"short", True), "f": (b"three", False), "g": (b"four", False)}
+    assert warc.parse_record(made(b"1.0", b"x", b"two", 2))["damaged"]
+
+
 URLS = [None, "", "nothing", "http://", "http://A.Example.NET/en/1?x#y", "http://a.example.net/en", "http://example.net",
         "http://example.net/", "https://badexample.net/en/", "http://x.org/fr/1", "http://org/fr/", "http://x.org/FR/",
         "http://m.example.com/de/5#t", "http://www.listed.example.com/a/", "http://listed.example.com/a?b",
