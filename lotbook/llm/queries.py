@@ -14,9 +14,11 @@ from lotbook.llm import (
     mixing,
     near_duplicates,
     packing,
+    piece_model,
     prefix_forest,
     quality_model,
     quality_rules,
+    ranked_search,
     surrogates,
     url_filter,
     warc,
@@ -27,6 +29,7 @@ SOURCE_WEIGHTS = (3, 1, 2)
 #: (verdict, host, path) of the URL rules, and the words in a host that put its pages' URLs on the list.
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
              ("allow", "org", "/fr/"))
+PIECE_MODEL = "piece_bpe_32k.model"
 LISTED_HOSTS = "casino|spam|adult"
 
 
@@ -144,11 +147,53 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    found = piece_model.encode(docs, public_tokenizers.path(PIECE_MODEL), keep=["doc_id"])
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+spoken AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM spoken GROUP BY doc_id),
+total AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS l FROM sizes),
+norms AS (SELECT doc_id, 50 + (50 * n * big_n) // l AS m FROM sizes, total),
+found AS (
+  SELECT doc_id, t, count(*) AS tf FROM spoken WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, t),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM found GROUP BY t), total),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN found USING (t) JOIN weights USING (t) JOIN norms USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mixing, op2_near_duplicates, op3_quality_rules, op4_warc_derivatives, op5_prefix_forest, op6_surrogates,
-        op7_main_text, op8_quality_model, op9_url_filter, op10_packing)}
+        op7_main_text, op8_quality_model, op9_url_filter, op10_packing,
+        op11_piece_encoding, op12_ranked_search)}
 
 
 def llm_statements() -> dict[str, str]:
-    return {"op2_near_duplicates": OP2_SQL, "op9_url_filter": OP9_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op9_url_filter": OP9_SQL, "op12_ranked_search": OP12_SQL}
