@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotbook.llm import (
+    collocations,
     main_text,
     mixing,
     near_duplicates,
@@ -188,12 +189,51 @@ SELECT * FROM ranked WHERE rank <= 50
 """
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH
+pieces AS (
+  SELECT lang, doc_id, row_number() OVER () AS piece, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) AS r(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY lang, k, g HAVING count(*) >= 100),
+candidates AS (SELECT lang, k, g, f AS a FROM f WHERE k >= 2),
+inside AS (
+  SELECT lang, list_slice(g, i, i + size - 1) AS g, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - size + 2)) AS i FROM candidates, range(2, 5) AS s(size) WHERE size < k)
+  GROUP BY lang, list_slice(g, i, i + size - 1)),
+cuts AS (
+  SELECT c.lang, c.g, c.a, x.f AS l, y.f AS r, n, cut, ((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) AS c
+  JOIN f AS x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, cut)
+  JOIN f AS y ON y.lang = c.lang AND y.g = list_slice(c.g, cut + 1, c.k)
+  JOIN totals ON totals.lang = c.lang
+  LEFT JOIN inside ON inside.lang = c.lang AND inside.g = c.g
+  WHERE longer IS NULL OR 100 * longer < 100 * c.a),
+least AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) AS place FROM cuts),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank,
+    array_to_string(g, ' ') AS phrase, a, l, r, n, score
+  FROM least WHERE place = 1)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mixing, op2_near_duplicates, op3_quality_rules, op4_warc_derivatives, op5_prefix_forest, op6_surrogates,
         op7_main_text, op8_quality_model, op9_url_filter, op10_packing,
-        op11_piece_encoding, op12_ranked_search)}
+        op11_piece_encoding, op12_ranked_search, op13_collocations)}
 
 
 def llm_statements() -> dict[str, str]:
-    return {"op2_near_duplicates": OP2_SQL, "op9_url_filter": OP9_SQL, "op12_ranked_search": OP12_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op9_url_filter": OP9_SQL, "op12_ranked_search": OP12_SQL,
+            "op13_collocations": OP13_SQL}
