@@ -132,8 +132,7 @@ def _counted(shard: int, ids: np.ndarray, begins: np.ndarray, size: int, width:
     part_bits = min(part_bits, qf.widths(size * width)[0])
     keys, counts, _ = qf.tallied(_windows(ids, np.flatnonzero(begins), size, width))
     part = qf.parts(keys, size * width, part_bits)
-    heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, dtype=np.int64)
-    stops = np.append(heads[1:], len(part))
+    heads, stops = np.unique(part, return_index=True)[1], np.searchsorted(part, np.unique(part), side="right")
     filters = [qf.dumped([k[a:b] for k in keys], counts[a:b], size * width, part_bits)
                for a, b in zip(heads, stops, strict=True)]
     yield pa.RecordBatch.from_arrays([

@@ -12,7 +12,7 @@ of the queried terms. Only two numbers reach the driver.
 **Search.** Items are dealt into blocks of about ``ITEM_BLOCK``; each pair of shard and item block is one group that
 gets the postings of the block's terms. For one item, lists are ordered by their bound. Lists whose bounds sum up to no
 more than the worst score kept are non-essential: documents that only they hold cannot enter. Documents are worked on in
-windows of ascending number: essential lists are added up, then the others from the strongest to the weakest, where a
+windows of ascending number, short ones first so that the worst score kept soon rises: essential lists are added up, then the others from the strongest to the weakest, where a
 candidate is dropped without decompressing a block if its score so far, the block's bound and the bounds of all weaker
 lists do not pass the worst score kept. Each shard returns its best ``k`` of an item, and a window over these merges them.
 
@@ -48,6 +48,7 @@ BLOCK = 128
 SHARD_BYTES = 16 << 20
 SHARD_DOCS = 1 << 16
 ITEM_BLOCK = 256
+FIRST_WINDOW = 1 << 7  # documents; each window is twice the one before, up to the largest
 WINDOW = 1 << 12
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 IS_TERM = np.zeros(256, dtype=bool)
@@ -221,12 +222,13 @@ def best(lists: list[_List], n_docs: int, k: int) -> tuple[np.ndarray, np.ndarra
     lists = sorted((x for x in lists if x.bound > 0), key=lambda x: x.bound)
     below = np.concatenate([[0], np.cumsum([x.bound for x in lists])]).astype(np.int64)
     docs, scores, worst = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 0
-    for start in range(0, n_docs, WINDOW):
+    start, width = 0, min(FIRST_WINDOW, WINDOW)
+    while start < n_docs:
         # Later documents lose ties, so a bound must pass the worst score kept.
         essential = int(np.searchsorted(below[1:], worst, side="right"))
         if essential == len(lists):
             break
-        stop = min(start + WINDOW, n_docs)
+        stop = min(start + width, n_docs)
         score = np.zeros(stop - start, dtype=np.int64)
         for x in lists[essential:]:
             for block in range(*np.searchsorted(x.last, [start, stop - 1]) + [0, 1]):
@@ -241,7 +243,9 @@ def best(lists: list[_List], n_docs: int, k: int) -> tuple[np.ndarray, np.ndarra
             bound = np.append(x.bounds, 0)[block]
             keep = score[found] + bound + below[i] > worst
             found, block = found[keep], block[keep]
-            heads = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else []
+            if not len(found):
+                break
+            heads = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
             for head, end in zip(heads, [*heads[1:], len(block)], strict=True):
                 if block[head] < len(x.last):
                     at, gain = x.open(int(block[head]))
@@ -254,6 +258,7 @@ def best(lists: list[_List], n_docs: int, k: int) -> tuple[np.ndarray, np.ndarra
             order = np.lexsort((docs, -scores))[:k]
             docs, scores = docs[order], scores[order]
             worst = int(scores[-1]) if len(docs) == k else 0
+        start, width = stop, min(2 * width, WINDOW)
     return docs, scores
 
 
