@@ -2,7 +2,8 @@
 
 **Words.** Texts are read once. Each reading task gathers shards of about ``SHARD_BYTES`` of text and writes, per shard,
 its distinct words with their counts and the text as codes of those words, with a break between pieces. Words found
-often enough in their language get a dense id; every shard learns the ids of its own words by a join.
+often enough in their language get a dense id. Every shard learns the ids of its own words from a broadcast dictionary,
+if that is small by its measured rows and bytes, and by a shuffled join otherwise.
 
 **Phrases.** Word ids of a phrase are packed into one number. A shard counts its phrases of one length in counting
 quotient filters, one for each part of the permuted key space (:mod:`lotbook.llm.quotient_filter`), and the filters of a
@@ -48,6 +49,8 @@ LEAST = 100
 TOP = 2000
 PERCENT = 100
 SHARD_BYTES = 16 << 20
+BROADCAST_WORDS = 1 << 20
+BROADCAST_BYTES = 32 << 20  # of the words as text
 PART_WORDS = 1 << 20  # words of the corpus for each part of the key space
 IS_BREAK = np.zeros(256, dtype=bool)
 IS_BREAK[[*b".,;:!?", 10, 11, 12, 13]] = True
@@ -61,6 +64,22 @@ _MERGED = T.StructType([
     T.StructField("ids", _INTS), T.StructField("f", T.LongType())])
 
 
+def _hashes(words: Spans, langs: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """A 64-bit hash of each word with its text's language; the languages, and which one each text has."""
+    coded = langs.dictionary_encode()
+    names = Texts(coded.dictionary)
+    lang = coded.indices.to_numpy(zero_copy_only=False)
+    mark = Spans(names, names.offsets[:-1], names.offsets[1:], np.arange(len(names))).hashes(13)
+    hashes = mix(words.hashes(12, LOWER) ^ mark[lang[words.owner]]) if len(words) else np.zeros(0, np.uint64)
+    return hashes, coded.dictionary, lang
+
+
+def _word_hashes(words: pa.Array, langs: pa.Array) -> np.ndarray:
+    """:func:`_hashes` of single words."""
+    texts = Texts(words)
+    return _hashes(Spans(texts, texts.offsets[:-1], texts.offsets[1:], np.arange(len(texts))), langs)[0]
+
+
 class _Shard:
     """Words of the texts gathered so far."""
 
@@ -70,13 +89,9 @@ class _Shard:
     def add(self, column: pa.Array, langs: pa.Array) -> None:
         texts = Texts(column)
         spans = Spans(texts, *texts.runs(IS_WORD[texts.data]))
-        coded = langs.dictionary_encode()
-        names = Texts(coded.dictionary)
-        lang = coded.indices.to_numpy(zero_copy_only=False)
-        mark = Spans(names, names.offsets[:-1], names.offsets[1:], np.arange(len(names))).hashes(13)
-        hashes = mix(spans.hashes(12, LOWER) ^ mark[lang[spans.owner]]) if len(spans) else np.zeros(0, np.uint64)
+        hashes, names, lang = _hashes(spans, langs)
         first = self.vocabulary.add(spans, hashes)
-        self.langs.append(coded.dictionary.take(pa.array(lang[spans.owner[first]])))
+        self.langs.append(names.take(pa.array(lang[spans.owner[first]])))
         before = np.searchsorted(np.flatnonzero(IS_BREAK[texts.data]), spans.starts)
         apart = np.ones(len(spans), dtype=bool)
         apart[1:] = (spans.owner[1:] != spans.owner[:-1]) | (before[1:] != before[:-1])
@@ -94,7 +109,17 @@ class _Shard:
         return pa.RecordBatch.from_arrays([
             pa.array([number]), *[pa.ListArray.from_arrays(bounds, x) for x in (
                 langs, words.cast(pa.string()), pa.array(counts))],
-            pa.array([zlib.compress(codes.tobytes(), 1)], pa.binary())], schema=schema)
+            pa.array([_stored(codes)], pa.binary())], schema=schema)
+
+
+def _stored(codes: np.ndarray) -> bytes:
+    """Numbers below 2**31, compressed byte by byte of their places, as the upper ones differ little."""
+    return zlib.compress(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _restored(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int64)
 
 
 def _shards(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -137,25 +162,38 @@ def _counted(shard: int, ids: np.ndarray, begins: np.ndarray, size: int, width:
                for a, b in zip(heads, stops, strict=True)]
     yield pa.RecordBatch.from_arrays([
         pa.array([shard] * (len(heads) + 1)), pa.array([-1, *part[heads].tolist()], pa.int64()),
-        pa.array([zlib.compress(ids.astype(np.int32).tobytes(), 1), *filters], pa.binary()),
+        pa.array([_stored(ids), *filters], pa.binary()),
         pa.array([zlib.compress(np.packbits(begins).tobytes(), 1)] + [None] * len(heads), pa.binary())],
         schema=schema)
 
 
-def _first_step(width: int, part_bits: int):
-    """From codes and the ids of the shard's words to phrases of two words."""
+def _first_step(width: int, part_bits: int, dictionary=None):
+    """From codes and the ids of the shard's words to phrases of two words.
+
+    ``dictionary``, if given, holds the hashes of all words with an id in ascending order, and those ids; else the rows
+    bring the ids of their shard's words as ``known``.
+    """
+    def ids_of(batch: pa.RecordBatch, row: int) -> np.ndarray:
+        """The id of each word of a shard, 0 without one."""
+        if dictionary is None:
+            code, number = batch.column("known")[row].values.flatten()
+            table = np.zeros(batch.column("n")[row].as_py(), dtype=np.int64)
+            table[code.to_numpy()] = number.to_numpy()
+            return table
+        hashes, numbers = dictionary.value
+        own = _word_hashes(batch.column("words")[row].values, batch.column("langs")[row].values)
+        at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+        return np.where(hashes[at] == own, numbers[at], 0)
 
     def run(batches):
         for batch in batches:
-            for shard, codes, known in zip(*[batch.column(c) for c in ("shard", "codes", "known")], strict=True):
-                codes = np.frombuffer(zlib.decompress(codes.as_py()), dtype=np.int32)
-                table = np.zeros(int(codes.max(initial=0)) + 1, dtype=np.int64)
-                code, number = known.values.flatten()
-                table[code.to_numpy() + 1] = number.to_numpy()
-                ids = np.append(table[codes], 0)
+            for row in range(batch.num_rows):
+                table = np.append(0, ids_of(batch, row))
+                ids = np.append(table[_restored(batch.column("codes")[row].as_py())], 0)
                 begins = ids > 0
                 begins[:-1] &= ids[1:] > 0
-                yield from _counted(shard.as_py(), *_trimmed(ids, ids > 0, 1, begins), 2, width, part_bits)
+                shard = batch.column("shard")[row].as_py()
+                yield from _counted(shard, *_trimmed(ids, ids > 0, 1, begins), 2, width, part_bits)
 
     return run
 
@@ -178,7 +216,7 @@ def _next_step(size: int, width: int, part_bits: int):
         for batch in batches:
             columns = [batch.column(c) for c in ("shard", "entries", "open", "marks")]
             for shard, entries, opened, marks in zip(*columns, strict=True):
-                ids = np.frombuffer(zlib.decompress(entries.as_py()), dtype=np.int32).astype(np.int64)
+                ids = _restored(entries.as_py())
                 raw = np.frombuffer(zlib.decompress(opened.as_py()), dtype=np.uint8)
                 at = np.flatnonzero(np.unpackbits(raw, count=len(ids)))
                 bits, old = (size - 1) * width, size - 1
@@ -246,11 +284,19 @@ def _counts(docs: DataFrame, text_col: str, lang_col: str, longest: int, least:
     n_total = per_lang.agg(F.sum("n")).first()[0]
     width, part_bits = n_words.bit_length(), max(0, int(n_total // PART_WORDS).bit_length())
 
-    own = shards.select("shard", F.posexplode(F.arrays_zip("langs", "words")).alias("code", "w"))
-    known = own.join(frequent, (F.col("w.langs") == F.col("lang")) & (F.col("w.words") == F.col("word"))).groupBy(
-        "shard").agg(F.collect_list(F.struct("code", "id")).alias("known"))
-    state = shards.select("shard", "codes").join(known, "shard")
-    step = save(state.mapInArrow(_first_step(width, part_bits), _STEP), "phrases")
+    size = frequent.agg(F.sum(F.octet_length("word") + F.octet_length("lang"))).first()[0]
+    if n_words <= BROADCAST_WORDS and size <= BROADCAST_BYTES:
+        known = frequent.select("lang", "word", "id").toArrow().combine_chunks()
+        hashes = _word_hashes(known.column("word").combine_chunks(), known.column("lang").combine_chunks())
+        order = np.argsort(hashes)
+        dictionary = docs.sparkSession.sparkContext.broadcast((hashes[order], known.column("id").to_numpy()[order]))
+        state = shards.select("shard", "langs", "words", "codes")
+    else:
+        own = shards.select("shard", F.posexplode(F.arrays_zip("langs", "words")).alias("code", "w"))
+        same = (F.col("w.langs") == F.col("lang")) & (F.col("w.words") == F.col("word"))
+        known = own.join(frequent, same).groupBy("shard").agg(F.collect_list(F.struct("code", "id")).alias("known"))
+        state, dictionary = shards.select("shard", "codes", F.size("words").alias("n")).join(known, "shard"), None
+    step = save(state.mapInArrow(_first_step(width, part_bits, dictionary), _STEP), "phrases")
     found = []
     for size in range(2, longest + 1):
         filters = step.filter("part >= 0").select("shard", "part", "entries").groupBy("part")

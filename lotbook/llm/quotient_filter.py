@@ -2,8 +2,8 @@
 
 A key is permuted by an invertible mixing of its bits. The permuted key's leading bits name the part of the key space it
 lies in, the next ones are its quotient, and all the others its remainder. A filter holds the distinct keys of one part
-in ascending order: how many remainders each quotient has, in unary; the remainders whole; and a counter each, of one
-byte where the count allows. Permuted keys are spread evenly whatever the keys are, and filters of the same part are
+in ascending order: how many remainders each quotient has, in unary; the remainders whole; a bit that tells counts of 1
+from larger ones, and a counter for each of those, of one byte where the count allows. Permuted keys are spread evenly whatever the keys are, and filters of the same part are
 merged by merging their sorted entries. Undoing the permutation gives the keys back.
 
 Keys wider than 64 bits are held in several limbs, the first of which leads the order.
@@ -141,11 +141,13 @@ def dumped(limbs: Limbs, counts: np.ndarray, bits: int, part_bits: int) -> bytes
     quotient = (limbs[0] & _mask(sizes[0] - part_bits)) >> np.uint64(rest) if rest < 64 else np.zeros(n, np.uint64)
     runs = np.zeros(n + (1 << quotient_bits), dtype=bool)
     runs[quotient.astype(np.int64) + np.arange(n)] = True
+    more = counts > 1
     large = counts[counts >= 255]
     return b"".join([
         _HEADER.pack(n, quotient_bits, len(large)), np.packbits(runs).tobytes(),
         _bytes(limbs[0] & _mask(rest), rest), *[_bytes(x, s) for x, s in zip(limbs[1:], sizes[1:], strict=True)],
-        np.minimum(counts, 255).astype(np.uint8).tobytes(), large.astype("<u8").tobytes()])
+        np.packbits(more).tobytes(), np.minimum(counts[more], 255).astype(np.uint8).tobytes(),
+        large.astype("<u8").tobytes()])
 
 
 def loaded(data: bytes, part: int, bits: int, part_bits: int) -> tuple[Limbs, np.ndarray]:
@@ -167,6 +169,11 @@ def loaded(data: bytes, part: int, bits: int, part_bits: int) -> tuple[Limbs, np
     for size in sizes[1:]:
         value, view = _values(view, n, size)
         limbs.append(value)
-    counts = np.frombuffer(view[:n], dtype=np.uint8).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(view[n : n + 8 * n_large], dtype="<u8").astype(np.int64)
+    more = np.unpackbits(np.frombuffer(view[: (n + 7) // 8], dtype=np.uint8), count=n).astype(bool)
+    view = view[(n + 7) // 8 :]
+    n_more = int(more.sum())
+    larger = np.frombuffer(view[:n_more], dtype=np.uint8).astype(np.int64)
+    larger[larger == 255] = np.frombuffer(view[n_more : n_more + 8 * n_large], dtype="<u8").astype(np.int64)
+    counts = np.ones(n, dtype=np.int64)
+    counts[more] = larger
     return limbs, counts

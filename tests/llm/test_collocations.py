@@ -97,6 +97,8 @@ def test_many_parts_and_shards(spark, monkeypatch):
     rows = [(i, " ".join(draw.choice("abcdefgh") for _ in range(200)), "xx") for i in range(60)]
     monkeypatch.setattr(co, "PART_WORDS", 64)
     assert found(spark, rows, least=10) == brute(rows, 10, 2000)
+    monkeypatch.setattr(co, "BROADCAST_WORDS", 0)  # ids come by a shuffled join
+    assert found(spark, rows, least=10) == brute(rows, 10, 2000)
 
 
 def test_defined_cases(spark):
