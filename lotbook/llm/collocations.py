@@ -8,8 +8,8 @@ if that is small by its measured rows and bytes, and by a shuffled join otherwis
 **Phrases.** Word ids of a phrase are packed into one number. A shard counts its phrases of one length in counting
 quotient filters, one for each part of the permuted key space (:mod:`lotbook.llm.quotient_filter`), and the filters of a
 part are merged over all shards by merging their sorted entries. A phrase can only be frequent if the two phrases of one
-word less in it are, so lengths are worked through in turn: the merge sends each shard a bit for each of its entries, and
-the shard keeps the places that go on. Text that no frequent phrase covers is left behind. Permuted keys are spread
+word less in it are, so lengths are worked through in turn: the merge sends each shard a bit for each of its entries,
+broadcast if all bits are few by their bytes, and the shard keeps the places that go on. Text that no frequent phrase covers is left behind. Permuted keys are spread
 evenly over the parts, and a shard has one entry for a phrase however often it holds it, so no phrase makes a part heavy.
 The number of parts follows the number of words.
 
@@ -50,7 +50,7 @@ TOP = 2000
 PERCENT = 100
 SHARD_BYTES = 16 << 20
 BROADCAST_WORDS = 1 << 20
-BROADCAST_BYTES = 32 << 20  # of the words as text
+BROADCAST_BYTES = 32 << 20  # of the words as text; of the shards' marks
 PART_WORDS = 1 << 20  # words of the corpus for each part of the key space
 IS_BREAK = np.zeros(256, dtype=bool)
 IS_BREAK[[*b".,;:!?", 10, 11, 12, 13]] = True
@@ -225,7 +225,7 @@ def _next_step(size: int, width: int, part_bits: int):
                 frequent = np.zeros(len(part), dtype=bool)
                 for mark in marks.as_py():
                     first, stop = np.searchsorted(part, [mark["part"], mark["part"] + 1])
-                    flags = np.frombuffer(mark["marks"], dtype=np.uint8)
+                    flags = np.frombuffer(zlib.decompress(mark["marks"]), dtype=np.uint8)
                     frequent[first:stop] = np.unpackbits(flags, count=stop - first)
                 alive = np.zeros(len(ids), dtype=bool)
                 alive[at] = frequent[place]
@@ -258,7 +258,7 @@ def _merge(size: int, width: int, part_bits: int, least: int):
             own = flags[stop : stop + len(counts)]
             stop += len(counts)
             if own.any():
-                marked.append((shard, np.packbits(own).tobytes()))
+                marked.append((shard, zlib.compress(np.packbits(own).tobytes(), 1)))
         n, m = len(found), len(marked)
         return pa.table([
             pa.array([None] * n + [s for s, _ in marked], pa.int64()), pa.array([part] * (n + m), pa.int64()),
@@ -307,6 +307,8 @@ def _counts(docs: DataFrame, text_col: str, lang_col: str, longest: int, least:
             break
         marks = merged.filter("marks IS NOT NULL").groupBy("shard").agg(
             F.collect_list(F.struct("part", "marks")).alias("marks"))
+        if merged.agg(F.sum(F.octet_length("marks"))).first()[0] <= BROADCAST_BYTES:
+            marks = F.broadcast(marks)
         state = step.filter("part < 0").select("shard", "entries", "open").join(marks, "shard")
         step = save(state.mapInArrow(_next_step(size + 1, width, part_bits), _STEP), "phrases")
     return frequent, per_lang, reduce(DataFrame.unionByName, found)
