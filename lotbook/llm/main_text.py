@@ -12,14 +12,14 @@ a line feed. Script, style, template and similar elements, comments and everythi
 
 Defined cases: null, empty and tag-only pages give an empty text; broken markup is read as far as it can be: unclosed
 elements end with the page, stray end tags are skipped, a lone ``<`` is text; repeated rows get equal texts; an empty
-table gives an empty result; input columns named like a result give way. Work is linear in the page but for the flow,
-which only sees doubtful blocks.
+table gives an empty result; input columns named like a result give way. Reading a page takes time in proportion to its
+length whatever its markup; only the flow, which sees the doubtful blocks alone, may take more.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -30,14 +30,14 @@ from pyspark.sql import types as T
 
 from lotbook.llm.text_arrays import numbered
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|textarea|title|select|canvas|audio|video)\b[^>]*>"
-    r".*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"
-    r"|<[!?/][^>]*>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_MARK = re.compile("[>\"']")
+#: Elements whose content is no text of the page.
+SKIPPED = frozenset(
+    "script style noscript template svg math iframe object textarea title select canvas audio video".split())
+_ENDS = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in SKIPPED}
+_ATTRIBUTE = re.compile(
+    r"(?<![\w:-])(class|id|role|hidden|aria-hidden|style)(?![\w:-])\s*+(?:=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
@@ -46,18 +46,31 @@ _SELF_NESTING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"
                  "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _LIMITS = frozenset("ul ol dl table tbody thead article section div body main aside nav footer header form".split())
 #: Elements and roles around a block that speak against it, and for it.
-_OUTER = frozenset("nav footer aside form button dialog menu fieldset".split())
+_OUTER = frozenset("nav footer aside button dialog menu fieldset".split())
 _MAIN = frozenset("article main".split())
 _OUTER_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-_OUTER_NAMES = re.compile(
-    r"(?<![a-z])(?:nav|navbar|navigation|menu|submenu|header|masthead|topbar|footer|foot|sidebar|side|aside|ads?|adv|"
-    r"adverts?|advertisements?|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|notices?|"
-    r"notifications?|alerts?|popups?|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|"
-    r"comments?|commentlist|respond|repl(?:y|ies)|disqus|discussion|breadcrumbs?|related|recommend(?:ed|ations)?|"
-    r"widgets?|toolbar|pagination|pager|copyright|legal|search|tags?|outbrain|taboola|skip)(?![a-z])")
-_MAIN_NAMES = re.compile(
-    r"(?<![a-z])(?:article|articlebody|content|maincontent|post|postbody|entry|story|storybody|main|text)(?![a-z])")
+#: Names in a class or an id that speak against a block, as a whole or as its first or last part. Names of the first
+#: list hold for everything beneath; those of the second give way to an article beneath if the page has no other one.
+_APART_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertisements adsense sponsor sponsored promo promos promotion promotions "
+    "cookie cookies consent gdpr notice notices notification notifications popup popups modal overlay newsletter "
+    "subscribe subscription comment comments commentlist respond reply replies disqus discussion related recommend "
+    "recommended recommendations outbrain taboola".split())
+_AROUND_NAMES = frozenset(
+    "nav navbar navigation menu submenu header masthead topbar footer foot sidebar side aside banner banners alert "
+    "alerts signup login share sharing social breadcrumb breadcrumbs widget widgets toolbar pagination pager copyright "
+    "legal search tag tags skip".split())
+#: Parts that may stand behind such a name, and beginnings of names that only tell how a page is laid out.
+_CONTAINERS = frozenset(
+    "area articles author banner bar block body bottom box boxes buttons cloud container content count date dialog "
+    "first footer form group head header heading holder icons inner item items label left link links list main media "
+    "menu message meta modal nav news notice outer overlay panel popup posts primary reading reply right second "
+    "secondary section signup slot stories text thread title top trail unit widget wrap wrapper".split())
+_LAYOUTS = frozenset("has no with without is not".split())
+_MAIN_NAMES = frozenset(
+    "article articlebody content maincontent post postbody entry story storybody main text".split())
+_PARTS = re.compile(r"[^a-z]+")
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 #: Weights of the classifier's features, in nats for "content".
@@ -67,17 +80,31 @@ NEIGHBOUR = 1.2  # capacity between neighbours under one parent; divided by one
 SIBLING = 0.4  # capacity between blocks under one parent two or three blocks apart
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
+    """``apart``: outside the main text, with all beneath. ``around``: outside unless an article lies beneath.
+
+    ``named`` is an element that is around by itself, ``article`` one that is an article by its tag or role.
+    """
+
     tag: str
     parent: Element | None
     depth: int
-    outer: bool
+    apart: bool
+    around: bool
     main: bool
     hidden: bool
+    named: bool = False
+    article: bool = False
+    scope: dict[str, Element] = field(default_factory=dict)  # nearest elements of list and table parts, by tag
+    inline: dict[str, int] = field(default_factory=dict)  # open inline elements since the nearest block, by tag
 
+    @property
+    def outer(self) -> bool:
+        return self.apart or self.around
 
-@dataclass
+
+@dataclass(slots=True)
 class Block:
     element: Element
     parts: list[str] = field(default_factory=list)
@@ -85,42 +112,126 @@ class Block:
     text: str = ""
 
 
-def _open(tag: str, attributes: str, parent: Element | None) -> Element:
-    outer, main = tag in _OUTER, tag in _MAIN
-    hidden = False
-    if tag == "header" and not (parent and parent.main):
-        outer = True
-    names = ""
+def tokens(html: str, skipped: frozenset[str] = SKIPPED) -> Iterator[tuple[int, int, bool, str, str, int]]:
+    """Markup in page order: start, end, whether it closes, the tag, its attributes, and where the tag itself ends.
+
+    Comments, declarations and the like have no tag. An element of the ``skipped`` ones is a single item with all that
+    is in it, to the page's end if it stays open. A ``>`` inside a quoted value ends no tag, unless the quotes do not
+    match up, when the first ``>`` does. Each place is looked at a bounded number of times, whatever the markup.
+    """
+    at, n = 0, len(html)
+    last = {"'": html.rfind("'"), '"': html.rfind('"')}
+    broken: set[int] = set()  # opening quotes from which the quotes do not match up
+    while (start := html.find("<", at)) >= 0:
+        if html.startswith("<!--", start):
+            stop = html.find("-->", start + 4)
+            at = n if stop < 0 else stop + 3
+            yield start, at, False, "", "", at
+            continue
+        name = _NAME.match(html, start + 1)
+        if name is None and not html.startswith(("!", "?", "/"), start + 1):
+            at = start + 1
+            continue
+        first = html.find(">", start)
+        if first < 0:
+            comment = html.find("<!--", start)
+            if comment >= 0:
+                yield comment, n, False, "", "", n
+            return
+        if name is None:
+            at = first + 1
+            yield start, at, False, "", "", at
+            continue
+        stop, seen, place = first, [], name.end()
+        while (mark := _MARK.search(html, place)) is not None:
+            quote, opening = mark[0], mark.start()
+            if quote == ">":
+                stop = opening
+                break
+            seen.append(opening)
+            if opening == last[quote] or opening in broken:
+                broken.update(seen)
+                break
+            place = html.find(quote, opening + 1) + 1
+        else:
+            broken.update(seen)
+        at, tag = stop + 1, name[2].lower()
+        inner = at
+        if not name[1] and tag in skipped and not (tag in ("svg", "math") and html.endswith("/", start, stop)):
+            end = _ENDS[tag].search(html, at) if tag in _ENDS else None
+            at = end.end() if end else n
+        yield start, at, bool(name[1]), tag, html[name.end() : stop], inner
+
+
+def _speaks(parts: list[str], names: frozenset[str]) -> bool:
+    """Whether a name ends with one of the names, or begins with one and goes on with parts of a layout only."""
+    return parts[-1] in names or parts[0] in names and all(p in _CONTAINERS for p in parts[1:])
+
+
+def _open(tag: str, attributes: str, parent: Element) -> Element:
+    apart, article, hidden, main = tag in _OUTER, tag in _MAIN, False, False
+    named = tag == "form" or tag == "header" and not parent.main
+    names: list[list[str]] = []
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
-                names += " " + value
+                names += [[p for p in _PARTS.split(token) if p] for token in value.split()]
             elif key == "role":
-                outer |= bool(_OUTER_ROLES & set(value.split()))
-                main |= value in ("main", "article")
+                apart |= bool(_OUTER_ROLES & set(value.split()))
+                article |= value in ("main", "article")
             elif key == "hidden" or key == "aria-hidden" and value == "true":
                 hidden = True
-            elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            elif key == "style" and re.search(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", value):
                 hidden = True
+    names = [p for p in names if p and p[0] not in _LAYOUTS]
     if names and tag not in ("html", "body"):
-        outer |= bool(_OUTER_NAMES.search(names)) and tag not in _MAIN
-        main |= bool(_MAIN_NAMES.search(names)) and not outer
-    if parent is None:
-        return Element(tag, None, 0, outer, main, hidden)
-    if tag in _MAIN and parent.outer and not outer:
-        # An article inside a list of comments or teasers stays outside; nothing else takes the mark away.
-        outer = True
-    return Element(tag, parent, parent.depth + 1, outer or parent.outer, main or parent.main, hidden or parent.hidden)
+        main = any(_MAIN_NAMES & set(p) and not _speaks(p, _APART_NAMES | _AROUND_NAMES) for p in names)
+        apart |= tag not in _MAIN and any(_speaks(p, _APART_NAMES) for p in names)
+        named |= not (article or main) and any(_speaks(p, _AROUND_NAMES) for p in names)
+    main = article or main and not apart or parent.main
+    around = named or parent.around
+    apart |= parent.apart
+    scope = {} if tag in _LIMITS else parent.scope
+    if tag in _SELF_NESTING:
+        scope = {**scope}
+    made = Element(tag, parent, parent.depth + 1, apart, around, main, hidden or parent.hidden, named, article, scope,
+                   parent.inline if tag in _INLINE else {})
+    if tag in _SELF_NESTING:
+        scope[tag] = made
+    return made
+
+
+def _released(found: list[Block]) -> None:
+    """If no block lies in an article, articles beneath elements that are only named like page furniture come free.
+
+    Elements of comments, adverts and the like keep their articles outside.
+    """
+    if any(b.element.main and not b.element.outer for b in found):
+        return
+    done: dict[int, bool] = {}  # whether an element seen lies in an article
+    for block in found:
+        chain, node = [], block.element
+        while node is not None and id(node) not in done:
+            chain.append(node)
+            node = node.parent
+        inside = node is not None and done[id(node)]
+        for node in reversed(chain):
+            if inside:
+                node.around = node.named or node.parent.around
+            elif node.article and not node.apart:
+                node.around, inside = node.named, True
+            done[id(node)] = inside
 
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks that hold text, in page order."""
-    root = Element("", None, 0, False, False, False)
+    root = Element("", None, 0, False, False, False, False)
     top, links, done = root, 0, 0
     found: list[Block] = []
     current = Block(root)
     skipped_head = False
+    opened: dict[str, int] = {}  # open block elements by tag
 
     def flush() -> None:
         nonlocal current
@@ -142,13 +253,21 @@ def blocks(html: str) -> list[Block]:
             if links:
                 current.linked += len(decoded)
 
-    for token in _TOKEN.finditer(html):
-        add(html[done : token.start()])
-        done = token.end()
-        tag = token[3] or token[6]
-        if not tag:
+    def leave(node: Element) -> None:
+        """Closes ``node`` and all that is open in it."""
+        nonlocal top
+        while True:
+            last, counts = top, top.inline if top.tag in _INLINE else opened
+            counts[last.tag] -= 1
+            top = top.parent
+            if last is node:
+                return
+
+    for start, stop, closing, tag, attributes, inner in tokens(html):
+        add(html[done:start])
+        done = stop
+        if not tag or not closing and inner < stop:
             continue
-        closing, attributes, tag = token[2] or token[5], token[4] or token[7] or "", tag.lower()
         if tag == "head":
             skipped_head = not closing
             continue
@@ -163,34 +282,32 @@ def blocks(html: str) -> list[Block]:
         if closing:
             if tag == "a":
                 links = max(0, links - 1)
-            node = top
-            while node is not root and node.tag != tag:
-                if inline and node.tag not in _INLINE:
-                    node = root  # an inline end tag never closes a block
-                    break
-                node = node.parent
-            if node is not root:
-                top = node.parent
+            # An inline end tag never closes a block.
+            if (top.inline if inline else opened).get(tag, 0):
+                node = top
+                while node.tag != tag:
+                    node = node.parent
+                leave(node)
         elif tag not in _VOID:
             if not inline:
                 links = 0
                 while top is not root and top.tag in _INLINE:
-                    top = top.parent
-                closes, node = _SELF_NESTING.get(tag, set()), top
+                    leave(top)
                 if tag not in _SELF_NESTING and top.tag == "p":
-                    top = top.parent
-                while closes and node is not root and node.tag not in _LIMITS:
-                    if node.tag in closes:
-                        top = node.parent
-                        break
-                    node = node.parent
+                    leave(top)
+                closes = [top.scope[t] for t in _SELF_NESTING.get(tag, ()) if t in top.scope]
+                if closes:
+                    leave(max(closes, key=lambda e: e.depth))
             if not attributes.rstrip().endswith("/"):
                 top = _open(tag, attributes, top)
+                counts = top.inline if inline else opened
+                counts[tag] = counts.get(tag, 0) + 1
                 links += tag == "a"
         if not inline:
             current = Block(top)
     add(html[done:])
     flush()
+    _released(found)
     return found
 
 

@@ -1,11 +1,13 @@
 """WARC derivatives: linked metadata and plain-text conversion records for response records.
 
-Records are rows: ``type, record_id, target_uri, date, content_type, headers`` (all named fields as a map), ``block``
-(bytes) and ``damaged``. Files are read and written with Spark's text source, so large files are split, gzip files are
-streamed, and any path that Spark can open will do: the separator between two WARC/1.0 records is the line separator.
-Records of other versions in a line are told apart by their Content-Length; such a stretch is one task's and one row's.
-A record whose block is shorter than its Content-Length, because the separator occurs in its data or the file ends
-early, or is followed by bytes that are no record, is marked damaged and has no derivatives; it stays in the table.
+Records are rows: ``type, record_id, target_uri, date, content_type, headers`` (all named fields as a map; a field that is
+repeated has its values in one entry, with a line feed between), ``block`` (bytes) and ``damaged``. Files are read and
+written with Spark's text source, so large files are split between tasks, whatever their WARC version, gzip files are
+streamed, and any path that Spark can open will do: what stands between two records is the line separator. Files in which
+a line is not just one whole record, because the separator occurs in its data or it is cut short, are read again: their
+lines are brought into order, one task a file, and lines are joined until a record has its Content-Length. At most one
+record's lines are held there. A record whose length is not met so, or that is followed by bytes that are no record, is
+marked damaged and has no derivatives; it stays in the table, and the lines behind it are read as records again.
 
 Each sound response gives a ``metadata`` record (JSON: the source's WARC fields, status and HTTP headers, title, meta
 tags, links) and a ``conversion`` record (all visible text). Both carry WARC-Refers-To with the source's id, its target
@@ -29,8 +31,10 @@ import json
 import re
 import uuid
 import zlib
-from collections.abc import Sequence
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator, Sequence
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +42,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lotbook.llm.main_text import blocks
+from lotbook.llm.main_text import blocks, tokens
+from lotbook.sources.scratch import save_counted
 
 VERSION = "WARC/1.0"
 #: Derivatives are handed on when their blocks reach this many bytes together.
@@ -51,9 +56,9 @@ RECORD = T.StructType([
 ])
 _FIELDS = {"WARC-Type": "type", "WARC-Record-ID": "record_id", "WARC-Target-URI": "target_uri", "WARC-Date": "date",
            "Content-Type": "content_type"}
-#: What may follow a block: line ends, then a record or the end. And what a record looks like behind a damaged one.
-_BEHIND = re.compile(rb"[\r\n]*(?=WARC/[0-9]+\.[0-9]+\r\n|\Z)")
-_SEPARATOR = re.compile(rb"\r\n\r\n(?=WARC/[0-9]+\.[0-9]+\r\n)")
+SEPARATOR = "\r\n\r\nWARC/"
+LARGEST = (1 << 31) - 1  # bytes that a row can hold
+_VERSION = re.compile(rb"(?:WARC/)?[0-9]+\.[0-9]+\r\n")
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
 
 
@@ -77,38 +82,93 @@ def parse_headers(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def _record(raw: bytes, at: int) -> tuple[dict, int]:
-    """The record at a place in the bytes, with or without its version line, and the place of the next one."""
-    start = raw.find(b"\r\n", at) + 2 if raw.startswith(b"WARC/", at) else at
-    border = raw.find(b"\r\n\r\n", start)
-    first = border + 4 if border >= 0 else len(raw)
-    fields = dict(parse_headers(raw[start : border if border >= 0 else len(raw)].decode("utf-8", "replace")))
-    names = {n.lower(): n for n in fields}
-    size = fields.get(names.get("content-length", ""), "")
-    last = first + int(size) if size.isascii() and size.isdigit() else len(raw) + 1
-    behind = _BEHIND.match(raw, last) if last <= len(raw) else None
-    whole = behind is not None
-    if not whole:
-        # Too short, or followed by bytes that are no record: all up to the next record is kept.
-        behind = _SEPARATOR.search(raw, first)
-        last = behind.start() if behind else len(raw)
-    out = {column: fields.get(names.get(name.lower(), "")) for name, column in _FIELDS.items()}
-    record = {**out, "headers": fields, "block": raw[first:last], "damaged": not whole}
-    return record, behind.end() if behind else len(raw)
+def _fields(pairs: Sequence[tuple[str, str]]) -> dict[str, str]:
+    """Fields by the name they have first; values of a repeated field are joined."""
+    names: dict[str, str] = {}
+    out: dict[str, str] = {}
+    for name, value in pairs:
+        name = names.setdefault(name.lower(), name)
+        out[name] = f"{out[name]}\n{value}" if name in out else value
+    return out
+
+
+def _claimed(raw: bytes) -> tuple[int, int | None]:
+    """Where a record's block begins, and the length it should have, None if it names none that can be."""
+    border = raw.find(b"\r\n\r\n")
+    fields = _fields(parse_headers(raw[: border if border >= 0 else len(raw)].decode("utf-8", "replace")))
+    size = {n.lower(): v for n, v in fields.items()}.get("content-length", "")
+    known = size.isascii() and size.isdigit() and len(size) < 11 and int(size) <= LARGEST
+    return (border + 4 if border >= 0 else len(raw)), int(size) if known else None
+
+
+def _state(raw: bytes) -> int:
+    """Of a record and what follows it: 0 if it is whole, below 0 if bytes are missing, above 0 if it can't be whole."""
+    first, size = _claimed(raw)
+    if size is None:
+        return 1
+    surplus = raw[first + size :]
+    return -1 if len(raw) < first + size else 1 if surplus.strip(b"\r\n") else 0
 
 
 def parse_record(raw: bytes) -> dict:
-    """The first record of bytes, with or without the version line and the closing line ends."""
-    return _record(raw, 0)[0]
+    """The record that bytes begin with, with or without its version line and the closing line ends."""
+    if raw.startswith(b"WARC/"):
+        raw = raw[raw.find(b"\r\n") + 2 :]
+    first, size = _claimed(raw)
+    fields = _fields(parse_headers(raw[:first].decode("utf-8", "replace")))
+    names = {n.lower(): n for n in fields}
+    out = {column: fields.get(names.get(name.lower(), "")) for name, column in _FIELDS.items()}
+    damaged = _state(raw) != 0
+    block = raw[first:] if damaged else raw[first : first + size]
+    return {**out, "headers": fields, "block": block, "damaged": damaged}
+
+
+def parse_lines(lines: Iterable[bytes]) -> Iterator[dict]:
+    """The records of a file's lines in order, lines that belong to one record joined again.
+
+    If a record's length is not met at the end of any line, its first line is a damaged record, and those behind are
+    looked at again.
+    """
+    lines = iter(lines)
+    held: list[bytes] = []
+    ends: list[int] = []  # where each line held ends in the file
+    at = 0
+
+    def read() -> bool:
+        line = next(lines, None)
+        if line is not None:
+            held.append(line)
+            ends.append((ends[-1] + len(SEPARATOR) if ends else 0) + len(line))
+        return line is not None
+
+    while at < len(held) or read():
+        line = held[at]
+        body = _body(line)
+        first, claimed = _claimed(body)
+        stop = at
+        if claimed is not None:
+            end = ends[at] - len(body) + first + claimed
+            while ends[-1] < end and read():
+                pass
+            stop = bisect_left(ends, end, at)
+        surplus = ends[stop] - end if claimed is not None and stop < len(ends) else -1
+        if 0 <= surplus <= len(held[stop]) and not held[stop][len(held[stop]) - surplus :].strip(b"\r\n"):
+            yield parse_record(_body(SEPARATOR.encode().join(held[at : stop + 1])))
+            at = stop + 1
+        else:
+            yield parse_record(body)
+            at += 1
+        if at > 64:
+            # The last line stays, as the next one's place follows from it.
+            gone = min(at, len(held) - 1)
+            del held[:gone], ends[:gone]
+            at -= gone
 
 
-def parse_records(raw: bytes) -> list[dict]:
-    """All records of bytes, of any version: behind a record's Content-Length the next is looked for."""
-    out, at = [], 0
-    while at < len(raw) and (out or raw.strip()):
-        record, at = _record(raw, at)
-        out.append(record)
-    return out
+def _body(line: bytes) -> bytes:
+    """A line without the version it begins with."""
+    found = _VERSION.match(line)
+    return line[found.end() :] if found else line
 
 
 def format_record(record: dict) -> bytes:
@@ -119,20 +179,45 @@ def format_record(record: dict) -> bytes:
             fields[name] = record[column]
     block = bytes(record["block"] or b"")
     fields["Content-Length"] = str(len(block))
-    lines = [VERSION, *[f"{name}: {value}" for name, value in fields.items()]]
+    lines = [VERSION, *[f"{name}: {value}" for name, values in fields.items() for value in values.split("\n")]]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files, plain or gzip."""
-    lines = spark.read.option("lineSep", f"\r\n\r\n{VERSION}\r\n").text(path)
+    """Records of WARC files of any version, plain or gzip."""
+    lines = spark.read.option("lineSep", SEPARATOR).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"), F.col("value").cast("binary").alias("raw"))
 
-    def run(batches):
+    def broken(batches):
         for batch in batches:
-            for raw in batch.column("raw"):
-                yield _batch(parse_records(raw.as_py()), RECORD, {})
+            states = [_state(_body(raw.as_py())) for raw in batch.column("raw") if raw.as_py().strip(b"\r\n")]
+            files = [f for f, raw in zip(batch.column("file").to_pylist(), batch.column("raw"), strict=True)
+                     if raw.as_py().strip(b"\r\n")]
+            found = sorted({f for f, state in zip(files, states, strict=True) if state})
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["file"])
 
-    return lines.select(F.col("value").cast("binary").alias("raw")).mapInArrow(run, RECORD)
+    def single(batches):
+        for batch in batches:
+            for raw in batch.column("raw"):
+                if raw.as_py().strip(b"\r\n"):
+                    yield _batch([parse_record(_body(raw.as_py()))], RECORD, {})
+
+    def joined(batches):
+        rows = ((file, raw) for batch in batches
+                for file, raw in zip(batch.column("file").to_pylist(), batch.column("raw"), strict=True))
+        for _, own in groupby(rows, key=lambda row: row[0]):
+            raws = (raw.as_py() for _, raw in own)
+            for record in parse_lines(raw for raw in raws if raw.strip(b"\r\n")):
+                yield _batch([record], RECORD, {})
+
+    schema = T.StructType([T.StructField("file", T.StringType())])
+    files, n_files = save_counted(lines.select("file", "raw").mapInArrow(broken, schema).distinct(), "files")
+    if not n_files:
+        return lines.select("raw").mapInArrow(single, RECORD)
+    whole = lines.join(files, "file", "left_anti").select("raw").mapInArrow(single, RECORD)
+    ordered = lines.join(files, "file", "left_semi").repartition("file").sortWithinPartitions("file", "start", "place")
+    return whole.unionByName(ordered.select("file", "raw").mapInArrow(joined, RECORD))
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
@@ -253,7 +338,7 @@ def decoded_text(headers: Sequence[tuple[str, str]], body: bytes) -> str:
     found = re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", named.get("content-type", ""), re.I)
     charset = found[1] if found else None
     if charset is None:
-        meta = re.search(rb"<meta[^>]{0,200}charset\s*=\s*[\"']?([\w.:-]+)", body[:4096], re.I)
+        meta = re.search(rb"<meta[^>]{0,200}charset\s*=\s*[\"']?([\w.:-]+)", body, re.I)
         charset = meta[1].decode("ascii", "replace") if meta else "utf-8"
     try:
         return body.decode(charset, "replace")
@@ -261,24 +346,29 @@ def decoded_text(headers: Sequence[tuple[str, str]], body: bytes) -> str:
         return body.decode("utf-8", "replace")
 
 
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LINK = re.compile(r"<(a|link|img|script|iframe)\b((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.I)
-_META = re.compile(r"<meta\b((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.I)
-_PAIR = re.compile(r"([\w:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)")
+_PAIR = re.compile(r"(?<![\w:-])([\w:-]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>\"']++)")
+_LINKS = frozenset("a link img script iframe".split())
+_RAW = frozenset("script style textarea title".split())  # no markup inside
 
 
 def html_metadata(html: str) -> dict:
+    """Title, meta tags and links, in page order; comments hold none."""
     def pairs(text: str) -> dict[str, str]:
         return {k.lower(): unescape(v.strip("\"'")) for k, v in _PAIR.findall(text)}
 
-    title = _TITLE.search(html)
-    links = []
-    for tag, attributes in _LINK.findall(html):
-        found = pairs(attributes)
-        if url := found.get("href") or found.get("src"):
-            links.append({"path": tag.lower(), "url": url})
-    return {"title": " ".join(unescape(title[1]).split()) if title else None,
-            "metas": [pairs(m) for m in _META.findall(html)], "links": links}
+    title, metas, links = None, [], []
+    for _, stop, closing, tag, attributes, inner in tokens(html, _RAW):
+        if closing:
+            continue
+        if tag == "title" and title is None:
+            title = html[inner : html.rfind("<", inner, stop) if html.endswith(">", inner, stop) else stop]
+        elif tag == "meta":
+            metas.append(pairs(attributes))
+        elif tag in _LINKS:
+            found = pairs(attributes)
+            if url := found.get("href") or found.get("src"):
+                links.append({"path": tag, "url": url})
+    return {"title": None if title is None else " ".join(unescape(title).split()), "metas": metas, "links": links}
 
 
 def derivatives_of(record: dict) -> list[dict]:

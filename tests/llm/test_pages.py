@@ -5,7 +5,9 @@ import itertools
 import json
 import random
 import re
+import time
 import zlib
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,11 +121,13 @@ def test_encodings_and_damage(spark, tmp_path):
     metadata, text = warc.derivatives_of(record)
     assert text["block"].decode() == "größer" and json.loads(metadata["block"])["html"]["title"] == "é"
     split = {**record, "record_id": "<urn:y>", "block": b"one\r\n\r\nWARC/1.0\r\nX: y\r\n\r\ntwo"}
+    short = warc.format_record({**record, "record_id": "<urn:z>"})[:-5]
     file = tmp_path / "x.warc"
-    file.write_bytes(warc.format_record(record) + b"\r\n\r\n" + warc.format_record(split) + b"\r\n\r\n")
+    file.write_bytes(b"\r\n\r\n".join([warc.format_record(record), warc.format_record(split), short, b""]))
     back = {r["record_id"]: r for r in warc.read_warc(spark, str(file)).collect()}
     assert not back["<urn:x>"]["damaged"] and bytes(back["<urn:x>"]["block"]) == head + chunked
-    assert back["<urn:y>"]["damaged"] and warc.derivatives_of(back["<urn:y>"].asDict()) == []
+    assert not back["<urn:y>"]["damaged"] and bytes(back["<urn:y>"]["block"]) == split["block"]
+    assert back["<urn:z>"]["damaged"] and warc.derivatives_of(back["<urn:z>"].asDict()) == []
 
 
 def test_bodies_are_decoded_whole(spark, monkeypatch):
@@ -165,6 +169,145 @@ def test_records_of_any_version_are_all_read(spark, tmp_path):
     assert warc.parse_record(made(b"1.0", b"x", b"two", 2))["damaged"]
 
 
+def test_separators_in_payloads_and_repeated_fields_over_many_tasks(spark, tmp_path):
+    """Every record and derivative is there, however the file is split; repeated fields keep all their values."""
+    draw = random.Random(4)
+    records = []
+    for i in range(60):
+        inner = [f"<p>part {i} {j} " + "x" * draw.randint(0, 900) for j in range(draw.randint(1, 4))]
+        page = draw.choice([warc.SEPARATOR, f"{warc.SEPARATOR}1.1\r\nContent-Length: 3\r\n\r\n"]).join(inner)
+        records.append({
+            "type": "response", "record_id": f"<urn:{i}>", "target_uri": f"http://h/{i}", "date": "2020-01-01T00:00:00Z",
+            "content_type": None, "headers": {"WARC-Concurrent-To": f"<a{i}>\n<b{i}>\n<c{i}>"}, "damaged": False,
+            "block": b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page.encode()})
+    for number in range(2):
+        own = [warc.format_record(r).replace(b"WARC/1.0", b"WARC/1.1", 1) for r in records[number * 30 : number * 30 + 30]]
+        (tmp_path / f"{number}.warc").write_bytes(b"\r\n\r\n".join([*own, b""]))
+    (tmp_path / "2.warc").write_bytes(warc.format_record({**records[0], "record_id": "<urn:plain>", "block": b""}))
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "4k")
+    try:
+        back = warc.read_warc(spark, str(tmp_path))
+        found = {r["record_id"]: r for r in back.collect()}
+        derived = warc.derivatives(back).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert len(found) == 61 and not any(r["damaged"] for r in found.values())
+    for r in records:
+        assert bytes(found[r["record_id"]]["block"]) == r["block"]
+        assert found[r["record_id"]]["headers"]["WARC-Concurrent-To"] == r["headers"]["WARC-Concurrent-To"]
+    assert len(derived) == 122
+    assert warc.format_record(records[0]).count(b"WARC-Concurrent-To: ") == 3
+
+
+class _Reader(HTMLParser):
+    """Titles, meta tags, links and texts by the standard library's parser."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.title, self.metas, self.links, self.words, self.skipping, self.in_title = "", [], [], [], 0, False
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
+        if tag == "meta":
+            self.metas.append(attrs)
+        if tag in ("a", "link", "img", "script", "iframe") and (attrs.get("href") or attrs.get("src")):
+            self.links.append({"path": tag, "url": attrs.get("href") or attrs.get("src")})
+        self.in_title |= tag == "title"
+        self.skipping += tag in ("head", "script", "style")
+
+    def handle_endtag(self, tag):
+        self.in_title &= tag != "title"
+        self.skipping -= tag in ("head", "script", "style")
+
+    def handle_data(self, data):
+        if self.in_title:
+            self.title += data
+        if not self.skipping:
+            self.words += data.split()
+
+
+def test_derivatives_equal_those_of_another_parser(spark):
+    draw = random.Random(9)
+    rows = []
+    for i in range(80):
+        parts = [f"<!DOCTYPE html><html><head><title>T{i} &amp; more</title><meta name='k' content=\"v > {i}\">"
+                 f"<link rel=x href='/s{i}.css'><script src=/j{i}.js>var a = '<p>no</p>';</script></head><body>"]
+        for j in range(draw.randint(0, 12)):
+            word = f"w{i}x{j} &eacute;"
+            parts.append(draw.choice([
+                f"<p class='a b'>{word} <b>bold</b> text", f"<div><a href='/l{j}?a=1&amp;b=2'>{word}</a></div>",
+                f"<ul><li>{word}<li>second</ul>", f" <!-- <a href=no>{word}</a> --> ", f"<img alt='>' src=\"/i{j}.png\"> ",
+                f"<table><tr><td>{word}<td>cell</table>", f"<h2>{word}</h2>", f"loose {word}<br>"]))
+        rows.append((i, f"http://h/{i}", "".join(parts) + "</body></html>"))
+    found = {(r["page_id"], r["type"]): bytes(r["block"]).decode()
+             for r in warc.derivatives(warc.responses(pages(spark, rows)), keep=["page_id"]).collect()}
+    for i, url, html in rows:
+        want, about = _Reader(html), json.loads(found[i, "metadata"])
+        assert about["html"] == {"title": want.title, "metas": want.metas, "links": want.links}
+        assert found[i, "conversion"].split() == want.words
+        assert about["source_warc_headers"]["WARC-Target-URI"] == url
+        assert about["payload_digest"] == about["source_warc_headers"]["WARC-Payload-Digest"] == warc.digest(html.encode())
+
+
+SENTENCES = "A paragraph of plain text stands here. It has several sentences. They go on until the length counts. " * 3
+LONG = f"<p>{SENTENCES}</p>"
+MENU = "<ul>" + "".join(f"<li><a href=/{i}>Item {i}</a></li>" for i in range(8)) + "</ul>"
+#: Pages of many shapes; wanted is one ``SENTENCES`` for each {LONG} in the main text.
+SHAPES = [
+    *[(f"<div class='{name}'><article>{LONG}{LONG}</article></div>", 2) for name in (
+        "layout", "layout has-sidebar", "no-sidebar", "search-results", "with-header", "main-content share", "sidebar",
+        "header-wrapper", "is-nav-open without-footer")],
+    (f"<div id='comments-policy'><article>{LONG}</article></div>", 1),
+    (f"<form id=aspnetForm action=/><main>{LONG}{LONG}</main></form>", 2),
+    (f"<nav>{MENU}</nav><article>{LONG}<div class='share-buttons'>Share this. Share it now. Please do.</div>{LONG}</article>", 2),
+    (f"<div class=sidebar><article>{LONG}</article></div><article>{LONG}{LONG}</article>", 2),
+    (f"<div class=sidebar><article>{LONG}<div class=nav>{MENU}</div></article></div>", 1),
+    (f"<article>{LONG}</article><section id=comments><article>{LONG}</article></section>", 1),
+    (f"<div class=related-posts><article>{LONG}</article></div><main>{LONG}</main>", 1),
+    (f"<div role=main>{LONG}{LONG}</div><div role=complementary>{LONG}</div>", 2),
+    (f"<div class='post-content'>{LONG}</div><div class='site-footer'>{LONG}</div>", 1),
+    (f"<div class=content data-id=comments>{LONG}{LONG}</div>", 2),
+    (f"<table><tr><td>{MENU}<td>{LONG}{LONG}</table>", 2),
+    (f"<header><h2>Site</h2>{MENU}</header>{LONG}{LONG}{LONG}<footer>{LONG}</footer>", 3),
+    (f"<div class='cookie-banner'>{LONG}</div><div class='newsletter-signup'>{LONG}</div><article>{LONG}</article>", 1),
+]
+
+
+@pytest.mark.parametrize(("html", "wanted"), SHAPES)
+def test_whole_extractions_of_many_shapes(html, wanted):
+    assert main_text.extract(f"<html><body>{html}</body></html>") == "\n".join([SENTENCES.strip()] * wanted)
+
+
+HOSTILE = ["<a ", "<!", '<a "', "<a '", "<div>", "</p>", "<b>", "<h1>", '<a ">"', '<a x="y', "<li>", "<title ", "<script ",
+           "< ", "<td><b>", "<a '\">", "<!--", "-->", "<a =", "a='", "<meta " + "a" * 50]
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_broken_markup_takes_linear_time(unit):
+    """A tenth and the whole of a MB: far from the hundredfold time that a quadratic scan would take."""
+    def seconds(size, tail):
+        html = unit * (size // len(unit)) + tail
+        began = time.process_time()
+        main_text.blocks(html)
+        warc.html_metadata(html)
+        return time.process_time() - began
+
+    for tail in ("", ">", '"'):
+        assert seconds(1 << 20, tail) < 30 * max(seconds(1 << 20 >> 3, tail), 0.02)
+
+
+def test_deep_and_stray_tags_take_linear_time():
+    for make in (lambda n: "<div>" * n + "</p>" * n, lambda n: "<b>" * n + "<div>" + "<i>" * n + "</b>" * n,
+                 lambda n: "<h1>" * n + "<li></li>" * n, lambda n: "<b><div>" * n + "<i>x</b>" * n):
+        began = time.process_time()
+        main_text.blocks(make(60_000))
+        assert time.process_time() - began < 10
+
+
 URLS = [None, "", "nothing", "http://", "http://A.Example.NET/en/1?x#y", "http://a.example.net/en", "http://example.net",
         "http://example.net/", "https://badexample.net/en/", "http://x.org/fr/1", "http://org/fr/", "http://x.org/FR/",
         "http://m.example.com/de/5#t", "http://www.listed.example.com/a/", "http://listed.example.com/a?b",
