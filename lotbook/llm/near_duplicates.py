@@ -16,6 +16,9 @@ from each of ``h`` salts with ``h`` growing sixteenfold, and are compared with t
 group of copies costs about one comparison per class, and no bucket is cut short: the rounds end when in each bucket
 all classes left are in one component.
 
+Classes are told apart by their sets and numbered, so ids may be of any type that can be ordered, and rows may share one.
+Joins on a bucket start from written tables, so a bucket that holds many classes is split as a skewed join.
+
 **Verification.** Before a pair is formed, its sizes and 512-bit parity maps must allow the similarity; both bounds
 are exact, so they lose no link. Similarity is computed on the full sets of 52-bit shingle hashes: ``percent * union <= 100 *
 intersection``. Chance collisions inside one pair are below 1e-7 even for sets of 20,000 shingles.
@@ -47,6 +50,7 @@ PERCENT = 80
 BANDS = 24
 ROWS = 4
 PARITY = tuple(f"_p{i}" for i in range(8))
+SAME_SET = ("n_shingles", "_set1", "_set2")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,18 +135,15 @@ def _alike(a: str, b: str, percent: int):
 
 
 def _sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    fields = [T.StructField("n_shingles", T.LongType()), T.StructField("_set1", T.LongType()),
-              T.StructField("_set2", T.LongType()), T.StructField("_bands", T.ArrayType(T.LongType())),
-              *[T.StructField(c, T.LongType()) for c in PARITY]]
+    fields = [*[T.StructField(c, T.LongType()) for c in SAME_SET],
+              T.StructField("_bands", T.ArrayType(T.LongType())), *[T.StructField(c, T.LongType()) for c in PARITY]]
 
     def compute():
         def work(texts):
             texts = Texts(texts)
             n = len(texts)
             owner, hashes = shingles(texts, width)
-            size = np.bincount(owner, minlength=n)
-            one = sums(owner, mix(hashes + np.uint64(3)), n).view(np.int64)
-            two = sums(owner, mix(hashes ^ _GOLDEN), n).view(np.int64)
+            size, one, two = _digests(owner, hashes, n)
             filled = np.flatnonzero(size)
             number = np.zeros(n, dtype=np.int64)
             number[filled] = np.arange(len(filled))
@@ -157,23 +158,31 @@ def _sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     return per_text(docs, "_doc", fields, compute, ["_id"])
 
 
+def _digests(owner: np.ndarray, hashes: np.ndarray, n: int) -> list[np.ndarray]:
+    """The size of each set and two sums of hashes over it, which together tell sets apart."""
+    sums_of = [sums(owner, mix(h), n).view(np.int64) for h in (hashes + np.uint64(3), hashes ^ _GOLDEN)]
+    return [np.bincount(owner, minlength=n), *sums_of]
+
+
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     def compute():
         def work(texts):
             texts = Texts(texts)
             owner, hashes = shingles(texts, width)
             bounds = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes.astype(np.int64)))]
+            found = pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes.astype(np.int64)))
+            return [*_digests(owner, hashes, len(texts)), found]
 
         return work
 
-    return per_text(docs, "_doc", [T.StructField("set", T.ArrayType(T.LongType()))], compute, ["_id"])
+    fields = [*[T.StructField(c, T.LongType()) for c in SAME_SET], T.StructField("set", T.ArrayType(T.LongType()))]
+    return per_text(docs, "_doc", fields, compute, [])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    left = sets.select(F.col("_id").alias("a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("_id").alias("b"), F.col("set").alias("set_b"))
+    left = sets.select(F.col("_class").alias("a"), F.col("set").alias("set_a"))
+    right = sets.select(F.col("_class").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
@@ -193,34 +202,32 @@ def near_duplicates(
     """Per document: id, ``n_shingles``, ``component_id`` (least id reachable by links) and ``kept``."""
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_doc"))
     sketches = save(_sketches(docs, width, bands, rows), "sketches")
-    same_set = ["n_shingles", "_set1", "_set2"]
     classes = save(
-        sketches.filter("n_shingles > 0 AND _id IS NOT NULL").groupBy(*same_set)
+        sketches.filter("n_shingles > 0 AND _id IS NOT NULL").groupBy(*SAME_SET)
         .agg(F.min(F.struct("_id", "_bands", *PARITY)).alias("_first"))
-        .select(*same_set, F.col("_first._id").alias("_class"), "_first._bands",
-                *[f"_first.{c}" for c in PARITY]), "classes")
+        .select(*SAME_SET, "_first.*", F.monotonically_increasing_id().alias("_class")), "classes")
 
     members = classes.select("_class", F.explode("_bands").alias("bucket"))
-    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    crowded = save(members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "crowded")
     members = save(members.join(crowded, "bucket"), "members")
     weights = members.groupBy("_class").agg(F.sum("n").alias("weight"))
     weights = weights.join(classes.select("_class", "n_shingles", *PARITY), "_class")
     members, n_members = save_counted(members.drop("n").join(weights, "_class"), "members")
-    roots = None
+    least = classes.select(*SAME_SET, F.col("_id").alias("component_id"))
     if n_members:
-        wanted, n_wanted = save_counted(members.select(F.col("_class").alias("_id")).distinct(), "wanted")
-        # Texts are not shuffled but for those the filter lets through.
+        wanted, n_wanted = save_counted(
+            classes.join(members.select("_class").distinct(), "_class", "left_semi")
+            .select(*SAME_SET, "_class", "_id"), "wanted")
+        # Of each class only the row of its least id is read again, found by a filter on ids.
         likely = bloom.marked(docs, "_id", bloom.build(wanted, "_id", n_wanted), "_hit").filter("_hit").drop("_hit")
-        sets = save(_sets(likely.join(wanted, "_id", "left_semi"), width).dropDuplicates(["_id"]), "sets")
+        sets = _sets(likely, width).join(wanted.select(*SAME_SET, "_class"), [*SAME_SET])
+        sets = save(sets.dropDuplicates([*SAME_SET]).select("_class", "set"), "sets")
         roots = _grouped(members, sets, percent)
-
-    found = classes.select(*same_set, "_class")
-    if roots is not None:
-        found = found.join(roots, F.col("_class") == F.col("node"), "left")
-        found = found.select(*same_set, F.coalesce("root", "_class").alias("component_id"))
-    else:
-        found = found.withColumnRenamed("_class", "component_id")
-    out = sketches.select("_id", *same_set).join(found, same_set, "left")
+        numbered = classes.join(roots, F.col("_class") == F.col("node"), "left").select(
+            *SAME_SET, "_id", F.coalesce("root", "_class").alias("_root"))
+        components_of = numbered.groupBy("_root").agg(F.min("_id").alias("component_id"))
+        least = numbered.join(components_of, "_root").select(*SAME_SET, "component_id")
+    out = sketches.select("_id", *SAME_SET).join(least, [*SAME_SET], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id"))
     return out.select(
         F.col("_id").alias(id_col), "n_shingles", component.alias("component_id"),
@@ -266,6 +273,7 @@ def _grouped(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("k"))
             .filter("k > 1").select("bucket", "main")
         )
+        open_buckets = save(open_buckets, "open")
         rooted, n_members = save_counted(placed.join(open_buckets, "bucket"), "members")
         if not n_members:
             return roots

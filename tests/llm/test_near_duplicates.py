@@ -104,3 +104,29 @@ def test_components_of_stars_chains_and_loops(spark):
     links = [(1, 1), (9, 2), (2, 5), (5, 7), (30, 20), (20, 10), (10, 40), (40, 30), (None, 3), (3, 4)]
     found = {(r["node"], r["root"]) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {(9, 2), (5, 2), (7, 2), (20, 10), (30, 10), (40, 10), (4, 3)}
+
+
+def _row_groups(rows):
+    """Groups of rows by brute force, each with its least id, where rows may share an id."""
+    found = brute_force(dict(enumerate(t for _, t in rows)))
+    least = {}
+    for i, (key, _) in enumerate(rows):
+        root = found[i][1]
+        least[root] = min(least.get(root, key), key)
+    return sorted((key, found[i][0], least[found[i][1]], key == least[found[i][1]]) for i, (key, _) in enumerate(rows))
+
+
+def test_text_ids_and_shared_ids(spark):
+    draw = random.Random(21)
+    bases = [prose(draw, 80) for _ in range(12)]
+    rows = []
+    for i in range(90):
+        words = bases[i % 12].split(" ")
+        words[draw.randrange(len(words))] = prose(draw, 1)
+        rows.append((f"id{draw.randint(0, 45):03d}", " ".join(words)))
+    rows += [("x1", bases[0] + " a"), ("x1", bases[1] + " a")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    assert sorted(tuple(r) for r in near_duplicates(frame).collect()) == _row_groups(rows)
+    numbers = [(1, bases[0]), (1, bases[1]), (2, bases[0] + " b"), (3, bases[1] + " b")]
+    frame = spark.createDataFrame(numbers, "doc_id long, text string")
+    assert sorted(tuple(r) for r in near_duplicates(frame).collect()) == _row_groups(numbers)
