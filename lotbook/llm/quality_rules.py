@@ -6,8 +6,9 @@ trusted documents and one over all documents; the trusted one is smoothed toward
 text's score is the mean of ``log(trusted / raw)`` over its n-grams, each limited to ``LIMIT``, and it is kept if the
 score reaches a fixed threshold. No random choice is made: equal texts get equal verdicts.
 
-Raw counts cover every n-gram of every document. Trusted counts come from at most ``max_trusted`` trusted ids, those
-that hash lowest. Each task adds up its own counts, so what is shuffled and what reaches the driver is bounded by the
+Raw counts cover every n-gram of every document, trusted counts every n-gram of every trusted one. Trusted ids are
+broadcast if they are few, by count and by bytes; else the documents that a Bloom filter lets through are joined with
+them. Each task adds up its own counts, so what is shuffled and what reaches the driver is bounded by the
 buckets; the table of ratios is broadcast at that fixed size.
 
 Defined cases: null and empty texts have no words and fail the base rule; texts shorter than an n-gram score 0;
@@ -25,13 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotbook.llm import bloom
 from lotbook.llm.text_arrays import HASH_BITS, IS_SPACE, OWNER_BITS, Spans, Texts, distinct, per_text, sliced, windows
+from lotbook.sources.scratch import save_counted
 
 GRAM_BITS = 16
 PRIOR = 100_000.0
 LIMIT = 4.0
 THRESHOLD = -0.1
-MAX_TRUSTED = 20_000
+BROADCAST_IDS = 1_000_000
+BROADCAST_BYTES = 16 << 20  # of the ids as text
 WINDOW = 5
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _FOLD = np.where(IS_SPACE, 32, np.arange(256)).astype(np.uint32)
@@ -81,15 +85,24 @@ def base_counts(texts: Texts, words: Spans, hashes: np.ndarray) -> dict[str, np.
             "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat_words}
 
 
-def gram_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
-                max_trusted: int = MAX_TRUSTED) -> tuple[np.ndarray, np.ndarray]:
+def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``_text`` of every document with whether it counts as ``_raw`` and as ``_trusted``."""
+    ids, n = save_counted(trusted.filter("_id IS NOT NULL").distinct(), "trusted")
+    size = ids.agg(F.sum(F.octet_length(F.col("_id").cast("string")))).first()[0] or 0
+    if n <= BROADCAST_IDS and size <= BROADCAST_BYTES:
+        known = F.broadcast(ids.withColumn("_trusted", F.lit(True)))
+        return docs.join(known, "_id", "left").select(
+            "_text", F.lit(True).alias("_raw"), F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
+    likely = bloom.marked(docs, "_id", bloom.build(ids, "_id", n), "_hit").filter("_hit")
+    good = likely.join(ids, "_id", "left_semi").select(
+        "_text", F.lit(False).alias("_raw"), F.lit(True).alias("_trusted"))
+    return docs.select("_text", F.lit(True).alias("_raw"), F.lit(False).alias("_trusted")).unionByName(good)
+
+
+def gram_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Counts per bucket over all documents and over the trusted ones."""
-    chosen = (
-        trusted.select(F.col(id_col).alias("_id")).filter("_id IS NOT NULL").distinct()
-        .orderBy(F.xxhash64("_id"), "_id").limit(max_trusted).withColumn("_trusted", F.lit(True)))
-    # At most max_trusted ids.
-    flagged = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(
-        F.broadcast(chosen), "_id", "left").select("_text", F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
+    flagged = _marked(docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")),
+                      trusted.select(F.col(id_col).alias("_id")))
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("bucket", "raw", "good")])
 
     def run(batches):
@@ -99,10 +112,10 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
                 texts = Texts(part.column("_text"))
                 words = texts.words()
                 owner, bucket = grams(texts, words, words.hashes(6))
-                liked = part.column("_trusted").to_numpy(zero_copy_only=False)
-                raw += np.bincount(bucket, minlength=_BUCKETS)
-                good += np.bincount(bucket[liked[owner]], minlength=_BUCKETS)
-        at = np.flatnonzero(raw)
+                for total, name in ((raw, "_raw"), (good, "_trusted")):
+                    counted = part.column(name).to_numpy(zero_copy_only=False)
+                    total += np.bincount(bucket[counted[owner]], minlength=_BUCKETS)
+        at = np.flatnonzero(raw + good)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(good[at])], names=schema.names)
 
     rows = flagged.mapInArrow(run, schema).groupBy("bucket").agg(
@@ -123,10 +136,10 @@ def log_ratios(raw: np.ndarray, good: np.ndarray, prior: float = PRIOR, limit: f
 
 def apply_rules(
     docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    keep: Sequence[str] | None = None, threshold: float = THRESHOLD, max_trusted: int = MAX_TRUSTED,
+    keep: Sequence[str] | None = None, threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Adds the base counts, ``score``, ``base_failed`` and ``kept``; ``trusted`` has the trusted documents' ids."""
-    ratios = log_ratios(*gram_counts(docs, trusted, id_col, text_col, max_trusted))
+    ratios = log_ratios(*gram_counts(docs, trusted, id_col, text_col))
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     fields = [*[T.StructField(c, T.LongType()) for c in counts], T.StructField("score", T.DoubleType()),
