@@ -121,3 +121,58 @@ def test_key_decides_and_reruns_agree(spark):
     one, same, other = (replaced(spark, [text, text], key=k) for k in ("a", "a", "b"))
     assert one[0]["text"] == same[0]["text"] == one[1]["text"] != other[0]["text"]
     assert replaced(spark, []) == {}
+
+
+def test_columns_named_like_helpers_keep_their_values(spark):
+    names = ("_row", "_pieces", "_news", "_place", "row", "pieces", "news", "place", "k0", "n", "slice")
+    frame = documents(spark, [(i, t, "s") for i, t in enumerate(["mail ann@example.com", "clean", None])], extra=names)
+    found = surrogates.replace_personal_data(frame, "k")
+    assert found.columns == [*frame.columns, "n_surrogates"]
+    assert all(row[name] == "own" for row in found.collect() for name in names)
+
+
+def test_a_full_space_is_left_for_a_wider_one(spark):
+    """Every private address of a block is in the corpus: all get a surrogate of their own outside it."""
+    addresses = [f"192.168.{a}.{b}" for a in range(256) for b in range(256)]
+    found = replaced(spark, [" ".join(addresses[i : i + 256]) for i in range(0, 65536, 256)])
+    made = [new for i in range(256) for new in found[i]["text"].split()]
+    assert len(made) == len(set(made)) == 65536 and not set(made) & set(addresses)
+
+
+def test_every_kind_widens_without_end():
+    values = {"email": "a@b.de", "ip": "127.0.0.1", "ip6": "fe80::1", "card": "4040549990366437", "phone": "+1234567",
+              "iban": "DE89370400440532013000", "secret": "a..........b", "ssn": "078051120", "surname": "lee",
+              "given_f": "ann"}
+    for kind, value in values.items():
+        drawn = [len({surrogates.surrogate(kind, value, str(k).encode(), attempt) for k in range(400)})
+                 for attempt in (0, 24)]
+        assert drawn[1] == 400 >= drawn[0], kind
+
+
+def test_distinctness_and_coreference_equal_brute_force(spark):
+    """Equal values get one surrogate wherever they stand, different ones different ones, none of them a value found."""
+    draw = random.Random(31)
+    makers = [
+        lambda: f"10.{draw.randint(0, 1)}.0.{draw.randint(0, 30)}", lambda: f"{draw.choice('abc')}{draw.randint(0, 9)}@x.org",
+        lambda: f"+49 30 {draw.randint(1000, 1030)}", lambda: f"{draw.randint(100, 120)}-{draw.randint(10, 12)}-1234",
+        lambda: f"fe80::{draw.randint(0, 20):x}", lambda: "Mr. " + draw.choice(["Lee", "Ray", "Kim"])]
+    texts = ["; ".join(draw.choice(makers)() for _ in range(draw.randint(1, 8))) for _ in range(300)]
+    texts += ["10.0.0.5; " * 40] * 60  # one value on a large share of the rows
+    found = replaced(spark, texts)
+    mapping = {}
+    for i, text in enumerate(texts):
+        before, after = ([(k, v) for _, _, k, v in surrogates.entities(t)] for t in (text, found[i]["text"]))
+        assert len(before) == len(after) == found[i]["n_surrogates"]
+        for old, new in zip(before, after, strict=True):
+            assert mapping.setdefault(old, new) == new
+    values = list(mapping.values())
+    assert len(set(values)) == len(values) and not set(values) & set(mapping)
+
+
+def test_further_kinds(spark):
+    texts = ["see https://ann:pa55-w0rd@example.com/x", "Authorization: Bearer abcDEF0123456789.xyz", "at 2001:db8::8a2e:370:7334",
+             "at 2001:0db8:85a3:0000:0000:8a2e:0370:7334.", "std::cout 12:30:45 a::b", "Bearer of good news all around"]
+    found = replaced(spark, texts)
+    assert [found[i]["n_surrogates"] for i in range(6)] == [1, 1, 1, 1, 0, 0]
+    for i, secret in enumerate(["pa55-w0rd", "abcDEF0123456789.xyz", "8a2e:370:7334", "8a2e:0370:7334"]):
+        assert secret not in found[i]["text"]
