@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lotbook.sources.scratch import save
 from tests.llm.fixtures import documents, prose
 
 
@@ -92,3 +94,31 @@ def test_near_duplicates_share_shingles_of_five_words(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "docs"))
     stage = dict(corpus_pipeline.STAGES)["near duplicates"]
     assert {r["doc_id"] for r in stage(spark, spark.read.parquet(str(tmp_path / "docs")), "").collect()} == kept(5)
+
+
+def test_columns_named_like_helpers_keep_their_values(spark, folder):
+    names = ["_row", "_score", "_found", "_copy", "_copies", "_key", "_place", "_pieces", "_news", "row", "k0", "_id"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n)
+                              for n in names])
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = save(stage(spark, docs, folder), "stage")
+        assert docs.columns == columns
+        rows = docs.collect()
+        assert rows, name
+        for row in rows:
+            shown = "-" if row["doc_id"] is None else row["doc_id"]
+            assert all(row[n] == f"{n} {shown}" for n in names)
+
+
+def test_rows_that_share_an_id(spark):
+    """Texts of one id are documents of their own; repeated rows are one."""
+    draw = random.Random(15)
+    one, two = prose(draw, 60), prose(draw, 60)
+    rows = [(1, one, "a"), (1, two, "a"), (1, two, "a"), (2, one + " more", "a"), (3, two + " more", "a")]
+    stages = dict(corpus_pipeline.STAGES)
+    left = stages["near duplicates"](spark, documents(spark, rows), "")
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == sorted([(1, one), (1, two)])
+    mixed = stages["source mix"](spark, documents(spark, rows), "").collect()
+    assert {r["text"] for r in mixed} <= {t for _, t, _ in rows} and 4 <= len(mixed) <= 10
