@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import tpch_feed as tf
@@ -19,12 +19,14 @@ from lotbook.operators.scd2 import conflicting_keys
 from lotbook.operators.upsert import upsert_type1
 from lotbook.plans import dimensions, entities, sales
 from lotbook.plans.warehouse import EntityLayer, load_dimensions, run_warehouse
+from lotbook.schemas import ENTITIES
 from lotbook.sources.feeds import CANONICAL, LINEAGE, OFFLINE, ONLINE, Feed, is_offline, read_csv
 from lotbook.sources.feeds import csv_rejects as read_rejects
 from lotbook.sources.scratch import new_folder, save
 from lotbook.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
+CHECKED_TABLES = (*[t.name for t in ENTITIES], "fct_sales")
 
 
 # ---- feeds and scalar rules --------------------------------------------------------------------------------
@@ -48,16 +50,24 @@ def csv_scan_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _csv_round_trip(spark, tf.online_feed(tf.sale_lines(spark, sf_dir)), ONLINE)
 
 
-def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the offline feed, some of them broken: sound records and rejects by kind."""
+def _rejects(spark: SparkSession, rows: DataFrame, feed: Feed) -> DataFrame:
     folder = new_folder(spark, "csv")
-    rows = tf.offline_feed(tf.sale_lines(spark, sf_dir)).drop("order_day")
-    tf.csv_lines(rows).write.mode("overwrite").text(folder)
-    rejects = read_rejects(spark, folder, OFFLINE).select("problem")
-    sound = read_csv(spark, folder, OFFLINE).select(F.lit("none").alias("problem"))
+    tf.csv_lines(rows.drop("order_day")).write.mode("overwrite").text(folder)
+    rejects = read_rejects(spark, folder, feed).select("problem")
+    sound = read_csv(spark, folder, feed).select(F.lit("none").alias("problem"))
     return sound.unionByName(rejects).groupBy("problem").agg(F.count("*").alias("n_lines"))
 
 
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the offline feed, some of them broken: sound records and rejects by kind."""
+    return _rejects(spark, tf.offline_feed(tf.sale_lines(spark, sf_dir)), OFFLINE)
+
+
+def csv_rejects_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the online feed."""
+    return _rejects(spark, tf.online_feed(tf.sale_lines(spark, sf_dir)), ONLINE)
+
+
 def staging_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.staged_feed(spark, sf_dir).select(*CANONICAL, *LINEAGE)
 
@@ -251,11 +261,10 @@ def dim_upsert_type1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     name = F.col("s_name")
     closed = F.when(F.col("s_acctbal") < 0, F.concat(name, F.lit(" (CLOSED)"))).otherwise(name)
-    tracked = ("dealer_name", "source_system", "source_entity")
     store = Store.temporary(spark)
     known = suppliers.filter("s_nationkey < 20").select(*members(name))
-    upsert_type1(store, "dim_dealers", known, tracked, tf.LOAD_DT, ["s_suppkey"])
-    upsert_type1(store, "dim_dealers", suppliers.select(*members(closed)), tracked, tf.NEXT_LOAD_DT, ["s_suppkey"])
+    upsert_type1(store, "dim_dealers", known, tf.LOAD_DT, ["s_suppkey"])
+    upsert_type1(store, "dim_dealers", suppliers.select(*members(closed)), tf.NEXT_LOAD_DT, ["s_suppkey"])
     return store.read("dim_dealers")
 
 
@@ -368,6 +377,29 @@ def log_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_history(store, "LOAD_CE_DEALERS").select("procedure_name", "rows_affected", "log_message", "status")
 
 
+def log_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log rows of a fact load, one for each period."""
+    store = _sales(spark, sf_dir)
+    load_dimensions(store, tf.LOAD_DT)
+    sales.load_fact_logged(store, tf.LOAD_DT)
+    return log_history(store, "LOAD_FCT_SALES").select("procedure_name", "rows_affected", "log_message", "status")
+
+
+def log_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads: whether each one's time lies within the run, and how many were logged by then."""
+    store, feed = Store.temporary(spark), tf.unstaged(spark, sf_dir).feed
+    log = AuditLog(store)
+    begin = spark.sql("SELECT current_timestamp()").first()[0]
+    for entity in (entities.DEALERS, entities.PAYMENT_METHODS, entities.SALES_CHANNELS):
+        with log.loading("LOAD") as note:
+            note.report(entity.table, entities.load_entity(feed, store, entity, tf.LOAD_DT))
+    end = spark.sql("SELECT current_timestamp()").first()[0]
+    place = F.row_number().over(Window.partitionBy("procedure_name").orderBy("execution_time"))
+    return log_history(store, "LOAD").select(
+        "rows_affected", F.col("execution_time").between(F.lit(begin), F.lit(end)).alias("in_run"),
+        place.cast("long").alias("place"))
+
+
 # ---- data quality ------------------------------------------------------------------------------------------
 
 
@@ -398,6 +430,12 @@ def dq_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.too_long(tf.unstaged(spark, sf_dir).feed, "street", 9).select("id", "source_system", "street")
 
 
+def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared rule of the entity layer and the fact, with the fact's periods a week later."""
+    later = [Period(p.name, p.first_id + 7, p.end_id + 7) for p in DEFAULT_PERIODS]
+    return quality.check_store(_star(spark, sf_dir), CHECKED_TABLES, later)
+
+
 def dq_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows outside their period, if all periods were a week later."""
     later = [Period(p.name, p.first_id + 7, p.end_id + 7) for p in DEFAULT_PERIODS]
@@ -461,4 +499,8 @@ def all_queries() -> dict[str, Query]:
         "dq_domain": dq_domain,
         "dq_length": dq_length,
         "dq_bounds": dq_bounds,
+        "check_report": check_report,
+        "log_periods": log_periods,
+        "log_times": log_times,
+        "csv_rejects_online": csv_rejects_online,
     }

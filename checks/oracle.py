@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from lotbook.schemas import ENTITIES, TABLES
+
 OFFLINE, ONLINE = "SA_CAR_SALES_OFFLINE", "SA_CAR_SALES_ONLINE"
 DAY1, DAY2, CUT = "DATE '2024-07-01'", "DATE '2024-08-01'", "DATE '1998-06-15'"
 CANONICAL = (
@@ -24,8 +26,8 @@ def step(name: str, sql: str) -> None:
     STEPS[name] = sql.strip()
 
 
-def statement(final: str) -> str:
-    """The final query with all steps it needs in front of it."""
+def statement(final: str, kind: str = "") -> str:
+    """The final query with all steps it needs in front of it; ``kind`` is what a step is to be, such as MATERIALIZED."""
     needed: list[str] = []
 
     def visit(sql: str) -> None:
@@ -38,7 +40,7 @@ def statement(final: str) -> str:
     visit(final)
     if not needed:
         return final.strip()
-    return "WITH " + ",\n".join(f"{n} AS (\n{STEPS[n]}\n)" for n in needed) + "\n" + final.strip()
+    return "WITH " + ",\n".join(f"{n} AS {kind}(\n{STEPS[n]}\n)" for n in needed) + "\n" + final.strip()
 
 
 def cols(names, alias: str = "") -> str:
@@ -528,6 +530,37 @@ SELECT CAST(s_suppkey AS VARCHAR) AS dealer_src_id, s_suppkey,
   CASE WHEN s_acctbal < 0 THEN s_name || ' (CLOSED)' ELSE s_name END AS dealer_name
 FROM supplier""")
 
+# The feed is read once, and the known keys are distinct: the join has one match at most.
+step("dealer_cars", "SELECT id, concat(dealer, '_', brand, '_', model) AS dealer_car, source_system FROM feed")
+step("known_dealer_cars", f"SELECT DISTINCT dealer_car FROM dealer_cars WHERE source_system = '{OFFLINE}'")
+
+
+def _violations(table: str) -> list[str]:
+    """A statement for each declared rule of a table."""
+    spec, out = TABLES[table], []
+
+    def line(rule: str, columns: tuple[str, ...], counted: str) -> None:
+        out.append(f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{','.join(columns)}' AS columns, "
+                   f"({counted}) AS violations")
+
+    for keys in spec.unique:
+        names = ", ".join(f'"{k}"' for k in keys)
+        filled = " AND ".join(f'"{k}" IS NOT NULL' for k in keys)
+        line("unique", keys, f"SELECT count(*) FROM (SELECT {names} FROM {table} WHERE {filled} GROUP BY {names} "
+                             "HAVING count(*) > 1)")
+    for c, (parent, key) in spec.references.items():
+        line("foreign key", (c,), f"SELECT count(*) FROM {table} AS c LEFT JOIN (SELECT DISTINCT {key} AS k FROM {parent}) "
+                                  f"AS p ON p.k = c.{c} WHERE c.{c} IS NOT NULL AND p.k IS NULL")
+    rows = [("not null", c, f'"{c}" IS NULL') for c in spec.not_null]
+    rows += [("domain", c, f"{c} NOT IN ({', '.join(map(repr, allowed))})") for c, allowed in spec.domains.items()]
+    rows += [("length", c, f"length({c}) > {n}") for c, n in spec.lengths.items()]
+    if spec.partition_by:
+        rows.append(("period", "date_surr_id", f"({period('date_surr_id', 7)}) IS DISTINCT FROM {spec.partition_by}"))
+    for rule, c, broken in rows:
+        line(rule, (c,), f"SELECT count(*) FROM {table} WHERE {broken}")
+    return out
+
+
 _MEMBERS = ("ce_countries ce_states ce_cities ce_streets ce_addresses ce_car_brands ce_car_models ce_cars "
             "ce_employees ce_dealers ce_payment_methods ce_sales_channels ce_customers_sdc ce_dates").split()
 
@@ -639,17 +672,32 @@ HAVING count(*) > 1""",
         "dq_not_null": "SELECT id, source_system, state, building, email FROM feed "
                        "WHERE state IS NULL OR building IS NULL OR email IS NULL",
         "dq_fk": f"""
-SELECT id, dealer_car FROM (
-  SELECT id, concat(dealer, '_', brand, '_', model) AS dealer_car, source_system FROM feed) AS f
-WHERE source_system = '{ONLINE}' AND dealer_car NOT IN (
-  SELECT concat(dealer, '_', brand, '_', model) FROM feed WHERE source_system = '{OFFLINE}')""",
+SELECT f.id, f.dealer_car FROM dealer_cars AS f LEFT JOIN known_dealer_cars AS k ON k.dealer_car = f.dealer_car
+WHERE f.source_system = '{ONLINE}' AND k.dealer_car IS NULL""",
         "dq_domain": "SELECT id, source_system, channel FROM feed WHERE channel NOT IN ('F', 'O')",
         "dq_length": "SELECT id, source_system, street FROM feed WHERE length(street) > 9",
         "dq_bounds": f"""
 SELECT sale_src_id, source_id, sales_period, date_surr_id FROM fct_sales
 WHERE ({period('date_surr_id', 7)}) IS DISTINCT FROM sales_period""",
+        "log_periods": "\nUNION ALL\n".join(f"""
+SELECT 'LOAD_FCT_SALES' AS procedure_name, count(*) AS rows_affected,
+  '{name}: date ids {first} to {end - 1}, rows: ' || CAST(count(*) AS VARCHAR) AS log_message, 'Success' AS status
+FROM fct_sales WHERE sales_period = '{name}'""" for name, (first, end) in PERIODS.items()),
+        "log_times": "\nUNION ALL\n".join(
+            f"SELECT count(*) AS rows_affected, TRUE AS in_run, CAST({i} AS BIGINT) AS place FROM {t}"
+            for i, t in enumerate(("ce_dealers", "ce_payment_methods", "ce_sales_channels"), 1)),
+        "csv_rejects_online": """
+SELECT problem, count(*) AS n_lines FROM (
+  SELECT CASE WHEN o % 11 = 0 THEN 'missing columns' WHEN o % 13 = 0 THEN 'surplus columns'
+    WHEN o % 17 = 0 THEN 'open quote' ELSE 'none' END AS problem
+  FROM (SELECT CAST(split_part(id, '-', 1) AS BIGINT) AS o FROM sale_lines WHERE return_flag = 'R') AS l) AS p
+GROUP BY problem""",
     }
-    return {name: statement(sql) for name, sql in found.items()}
+    once = {"check_report": "\nUNION ALL\n".join(
+        line for table in (*[t.name for t in ENTITIES], "fct_sales") for line in _violations(table)),
+        "dq_fk": found.pop("dq_fk")}
+    return {**{name: statement(sql) for name, sql in found.items()},
+            **{name: statement(sql, "MATERIALIZED ") for name, sql in once.items()}}
 
 
 # Column of a sale line -> its name in the offline feed.

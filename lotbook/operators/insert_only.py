@@ -56,12 +56,13 @@ def not_in_table(rows: DataFrame, store: Store, table: str, keys: Sequence[str],
 
 
 def append_new(
-    store: Store, table: str, rows: DataFrame, load_dt: dt.date, *, with_default: bool = True
+    store: Store, table: str, rows: DataFrame, load_dt: dt.date, *, with_default: bool = True,
+    known_rows: int | None = None,
 ) -> tuple[int, int]:
     """Append rows that already have their ids, together with the default member if the table lacks it.
 
     Returns the rows and the default rows added, counted by the writing job itself. A table that has its
-    default member is not touched when there is nothing to add.
+    default member is not touched when there is nothing to add. ``known_rows`` is an upper bound of the rows.
     """
     seen = Observation()
     add_default = with_default and lacks_default_member(store, table)
@@ -73,7 +74,7 @@ def append_new(
     out = with_stamps(rows, load_dt).select(*TABLES[table].columns).observe(seen, F.count(F.lit(1)).alias("n"))
     if add_default:
         out = out.unionByName(default_member(store, table, load_dt))
-    store.append(table, out)
+    store.append(table, out, known_rows)
     added, default_rows = seen.get["n"], int(add_default)
     store.set_rows(table, before + added + default_rows)
     return added, default_rows

@@ -8,12 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotbook.functions.text import attribute
 from lotbook.operators.insert_only import append_new, next_id, with_stamps
 from lotbook.operators.lookup import lookup_join, touched_rows, unique_join
 from lotbook.operators.surrogate import assign_surrogate
-from lotbook.schemas import OPEN_END, TABLES
-from lotbook.sources.store import Store
+from lotbook.schemas import OPEN_END, TABLES, Table
+from lotbook.sources.store import ACTIVE, DIGEST, Store, digest
 
 NEW, VERSION = "new", "version"
 
@@ -40,23 +39,25 @@ def differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return changed
 
 
-def detect_versions(target: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str],
+def tracked_digest(spec: Table) -> Column:
+    """Digest of a row's tracked columns, as the store keeps it."""
+    return digest([spec.compared(F.col(c)) for c in spec.tracked])
+
+
+def detect_versions(stored: DataFrame, snapshot: DataFrame, key: str, tracked: Column,
                     known_rows: int | None = None) -> DataFrame:
-    """Snapshot rows that need a row in the target, with ``change``: a new key, or a changed active version.
+    """Snapshot rows that need a row in the table, with ``change``: a new key, or a changed active version.
 
-    A key whose versions are all closed stays closed. The target is reduced to the keys of a small snapshot, of which
-    ``known_rows`` is an upper bound, and then to one state per key, so both sides of the join are unique.
+    ``tracked`` is the digest of a snapshot row. A key whose versions are all closed stays closed. Of the stored rows only key, flag and digest are read; they are
+    reduced to the keys of a small snapshot, of which ``known_rows`` is an upper bound, and then to one state per key,
+    so both sides of the join are unique.
     """
-    state = touched_rows(target, snapshot, [key], known_rows).groupBy(key).agg(
-        F.max(F.when(F.col("is_active") == "Y", F.struct(*tracked))).alias("_active"),
-        F.lit(True).alias("_known"),
-    )
+    rows = touched_rows(stored.select(key, ACTIVE, DIGEST), snapshot, [key], known_rows)
+    state = rows.groupBy(key).agg(
+        F.max(F.when(F.col(ACTIVE) == "Y", F.col(DIGEST))).alias("_active"), F.lit(True).alias("_known"))
     joined = unique_join(snapshot, state, key, known_rows)
-    changed = differs(
-        [attribute(F.col(c)) for c in tracked], [attribute(F.col(f"_active.{c}")) for c in tracked]
-    )
     change = F.when(F.col("_known").isNull(), F.lit(NEW)).when(
-        F.col("_active").isNotNull() & changed, F.lit(VERSION)
+        F.col("_active").isNotNull() & (F.col("_active") != tracked), F.lit(VERSION)
     )
     return joined.withColumn("change", change).filter("change IS NOT NULL").drop("_active", "_known")
 
@@ -70,19 +71,19 @@ def opened_versions(rows: DataFrame, load_dt: dt.date) -> DataFrame:
 
 
 def scd2_merge(
-    store: Store, table: str, snapshot: DataFrame, tracked: Sequence[str], load_dt: dt.date,
-    known_rows: int | None = None,
+    store: Store, table: str, snapshot: DataFrame, load_dt: dt.date, known_rows: int | None = None,
 ) -> dict[str, int]:
     """Open versions for new and changed keys and close the versions they replace.
 
     ``snapshot`` holds the natural key, the attributes and the lineage, one row per key; ``known_rows`` is an
-    upper bound of its rows. The table is rewritten only when versions are closed, otherwise rows are appended.
+    upper bound of its rows. Where versions are closed, the active rows of their buckets are written anew; closed
+    versions and new rows are added beside what is there.
     """
     spec = TABLES[table]
     key = spec.src_col
-    first = next_id(store, table)
-    if store.rows(table):
-        changes = detect_versions(store.read(table), snapshot, key, tracked, known_rows)
+    first, before = next_id(store, table), store.rows(table)
+    if before:
+        changes = detect_versions(store.read_parts(table), snapshot, key, tracked_digest(spec), known_rows)
     else:
         changes = snapshot.withColumn("change", F.lit(NEW))
     numbered = assign_surrogate(changes, "_number", [key], within=["change"], known_rows=known_rows)
@@ -94,21 +95,30 @@ def scd2_merge(
     default_rows = 0
     if versions:
         replaced = numbered.rows.filter(F.col("change") == VERSION).select(key, F.lit(True).alias("_replaced"))
-        current = lookup_join(store.read(table), replaced, [key], known_rows=versions)
-        ends = F.col("_replaced") & (F.col("is_active") == "Y")
+        touched = touched_parts(store, table, replaced.withColumn(ACTIVE, F.lit("Y")))
+        current = lookup_join(store.read_parts(table, touched), replaced, [key], known_rows=versions)
+        ends = F.col("_replaced").isNotNull()
         kept = (
             current.withColumn("end_dt", F.when(ends, F.date_sub(F.lit(load_dt), 1)).otherwise(F.col("end_dt")))
-            .withColumn("is_active", F.when(ends, F.lit("N")).otherwise(F.col("is_active")))
+            .withColumn(ACTIVE, F.when(ends, F.lit("N")).otherwise(F.col(ACTIVE)))
         )
         added = with_stamps(opened, load_dt).select(*spec.columns)
-        store.replace(table, kept.select(*spec.columns).unionByName(added))
+        store.commit(table, kept.select(*spec.columns).unionByName(added), touched, before + new_keys + versions)
     else:
-        _, default_rows = append_new(store, table, opened, load_dt)
+        _, default_rows = append_new(store, table, opened, load_dt, known_rows=new_keys)
     # The labels of the log message.
     return {"New customers": new_keys, "SCD Old Updated": versions, "SCD New Versions": versions,
             "Default rows": default_rows}
 
 
+def touched_parts(store: Store, table: str, rows: DataFrame) -> set[tuple[str, int]]:
+    """The (active flag, bucket) pairs in which rows given by key and flag lie; as many as there are buckets at most."""
+    spec = TABLES[table]
+    flag = F.col(ACTIVE) if spec.has_history else F.lit("")
+    pairs = rows.select(flag.alias("flag"), store.bucket(table, F.col(spec.bucket_by)).alias("bucket")).distinct()
+    return {(r["flag"], r["bucket"]) for r in pairs.collect()}
+
+
 INSERT, CARRY, REOPEN = "insert", "carry", "reopen"
 
 
@@ -120,47 +130,46 @@ def latest_rows(dimension: DataFrame, key: str, id_col: str) -> DataFrame:
 
 
 def detect_mirror_changes(
-    dimension: DataFrame, source: DataFrame, key: str, id_col: str, tracked: Sequence[str],
-    validity: Sequence[str], known_rows: int | None = None,
+    stored: DataFrame, source: DataFrame, key: str, id_col: str, tracked: Column, validity: Sequence[str],
+    known_rows: int | None = None,
 ) -> DataFrame:
-    """Source versions the dimension lacks or holds differently, with ``change`` and the row to touch.
+    """Source versions the dimension lacks or holds differently, with ``change``, the row to touch and its flag.
 
-    ``insert``: unknown version. ``carry``: same attributes, other validity. ``reopen``: other attributes.
+    ``insert``: unknown version. ``carry``: same attributes, other validity. ``reopen``: other attributes. Of the
+    stored rows only number, key, validity and digest are read; ``tracked`` is the digest of a source row.
     """
-    latest = latest_rows(touched_rows(dimension, source, [key], known_rows), key, id_col).select(
-        key, F.col(id_col).alias("_row"), *[F.col(c).alias(f"_old_{c}") for c in (*tracked, *validity)]
-    )
+    rows = touched_rows(stored.select(key, id_col, *validity, DIGEST), source, [key], known_rows)
+    latest = latest_rows(rows, key, id_col).select(
+        key, F.col(id_col).alias("_row"), F.col(DIGEST).alias("_old"), *[F.col(c).alias(f"_old_{c}") for c in validity])
     joined = unique_join(source, latest, key, known_rows)
-
-    def changed(columns):
-        return differs([F.col(c) for c in columns], [F.col(f"_old_{c}") for c in columns])
-
     change = (
         F.when(F.col("_row").isNull(), F.lit(INSERT))
-        .when(changed(tracked), F.lit(REOPEN))
-        .when(changed(validity), F.lit(CARRY))
+        .when(F.col("_old") != tracked, F.lit(REOPEN))
+        .when(differs([F.col(c) for c in validity], [F.col(f"_old_{c}") for c in validity]), F.lit(CARRY))
     )
     return (
         joined.withColumn("change", change).filter("change IS NOT NULL")
-        .drop(*[f"_old_{c}" for c in (*tracked, *validity)])
+        .withColumnRenamed(f"_old_{ACTIVE}", "_flag").drop("_old", *[f"_old_{c}" for c in validity])
     )
 
 
 def mirror_scd2(
-    store: Store, table: str, source: DataFrame, tracked: Sequence[str], load_dt: dt.date,
-    order_by: Sequence[str], known_rows: int | None = None,
+    store: Store, table: str, source: DataFrame, load_dt: dt.date, order_by: Sequence[str],
+    known_rows: int | None = None,
 ) -> dict[str, int]:
     """Bring a type-2 dimension in step with the versions of the entity layer.
 
-    Closings are carried over in place. A version whose attributes changed without a new version closes its
-    row and gets another one. Comparisons treat NULLs as equal, so a second run changes nothing.
+    Closings are carried over. A version whose attributes changed without a new version closes its row and gets
+    another one. Comparisons treat NULLs as equal, so a second run changes nothing. Only the parts of the table are
+    written anew in which rows are touched.
     """
     spec = TABLES[table]
-    key, id_col = spec.src_col, spec.id_col
-    validity = ("start_dt", "end_dt", "is_active")
-    first = next_id(store, table)
-    if store.rows(table):
-        changes = detect_mirror_changes(store.read(table), source, key, id_col, tracked, validity, known_rows)
+    id_col = spec.id_col
+    validity = ("start_dt", "end_dt", ACTIVE)
+    first, before = next_id(store, table), store.rows(table)
+    if before:
+        changes = detect_mirror_changes(store.read_parts(table), source, spec.src_col, id_col, tracked_digest(spec),
+                                        validity, known_rows)
     else:
         changes = source.withColumn("_row", F.lit(None).cast("bigint")).withColumn("change", F.lit(INSERT))
     numbered = assign_surrogate(changes, "_number", order_by, within=["change"], known_rows=known_rows)
@@ -171,23 +180,25 @@ def mirror_scd2(
     )
     default_rows = 0
     if carries or reopened:
-        touched = numbered.rows.filter(F.col("_row").isNotNull()).select(
+        found = numbered.rows.filter(F.col("_row").isNotNull())
+        parts = touched_parts(store, table, found.select(spec.bucket_by, F.col("_flag").alias(ACTIVE)))
+        touched = found.select(
             F.col("_row").alias(id_col), F.col("change").alias("_change"),
-            F.col("end_dt").alias("_end_dt"), F.col("is_active").alias("_is_active"),
+            F.col("end_dt").alias("_end_dt"), F.col(ACTIVE).alias("_is_active"),
         )
-        current = lookup_join(store.read(table), touched, [id_col], known_rows=carries + reopened)
+        current = lookup_join(store.read_parts(table, parts), touched, [id_col], known_rows=carries + reopened)
         carried = F.col("_change") == CARRY
-        ends = (F.col("_change") == REOPEN) & (F.col("is_active") == "Y")
+        ends = (F.col("_change") == REOPEN) & (F.col(ACTIVE) == "Y")
         kept = current.select(
-            *[F.col(c) for c in spec.columns if c not in ("end_dt", "is_active", "update_dt")],
+            *[F.col(c) for c in spec.columns if c not in ("end_dt", ACTIVE, "update_dt")],
             F.when(carried, F.col("_end_dt")).when(ends, F.date_sub(F.lit(load_dt), 1))
             .otherwise(F.col("end_dt")).alias("end_dt"),
             F.when(carried, F.col("_is_active")).when(ends, F.lit("N"))
-            .otherwise(F.col("is_active")).alias("is_active"),
+            .otherwise(F.col(ACTIVE)).alias(ACTIVE),
             F.when(carried | ends, F.lit(load_dt).cast("date")).otherwise(F.col("update_dt")).alias("update_dt"),
         )
         added = with_stamps(opened, load_dt).select(*spec.columns)
-        store.replace(table, kept.select(*spec.columns).unionByName(added))
+        store.commit(table, kept.select(*spec.columns).unionByName(added), parts, before + inserts + reopened)
     else:
-        _, default_rows = append_new(store, table, opened, load_dt)
+        _, default_rows = append_new(store, table, opened, load_dt, known_rows=inserts)
     return {"Inserted": inserts + reopened, "Closed": carries + reopened, "Default rows": default_rows}

@@ -125,10 +125,6 @@ CUSTOMERS = Entity(
     parents=(*ADDRESSES.parents, ADDRESSES),
     stored_key_length=300,
 )
-CUSTOMER_TRACKED = (
-    "customer_first_name", "customer_last_name", "customer_email", "customer_telephone_number",
-)
-
 HIERARCHIES: dict[str, tuple[Entity, ...]] = {
     "location": (COUNTRIES, STATES, CITIES, STREETS, ADDRESSES),
     "car": (BRANDS, MODELS, CARS),
@@ -231,7 +227,7 @@ def load_customers(feed: DataFrame, store: Store, load_dt: dt.date) -> dict[str,
     known = [c for c in ("address_id",) if c in feed.columns]
     rows, count = save_counted(with_parents(profile(feed, [*CUSTOMERS.inputs, *known]), store, CUSTOMERS), "profile")
     snapshot = customer_snapshot(rows, store, count)
-    return scd2_merge(store, CUSTOMERS.table, snapshot, CUSTOMER_TRACKED, load_dt, count)
+    return scd2_merge(store, CUSTOMERS.table, snapshot, load_dt, count)
 
 
 def load_dates(

@@ -5,6 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
+
+from lotbook.functions.text import attribute
+
 DEFAULT_ID = -1
 OPEN_END = dt.date(9999, 12, 31)  # fixed value: end of validity of a current version
 _LINEAGE = "source_system string, source_entity string"
@@ -25,6 +29,18 @@ class Table:
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
     default: dict[str, object] | None = None
     partition_by: str | None = None
+    #: Of tables whose rows change: the key that rows are bucketed by, and the columns in which changes are looked for.
+    bucket_by: str | None = None
+    tracked: tuple[str, ...] = ()
+    null_is_text: bool = False  # when tracked columns are compared, NULL equals the text stored for a missing value
+
+    @property
+    def has_history(self) -> bool:
+        return self.bucket_by is not None and "is_active" in self.columns
+
+    def compared(self, value: Column) -> Column:
+        """A tracked column in the form in which it is compared."""
+        return attribute(value) if self.null_is_text else value
 
     @property
     def columns(self) -> list[str]:
@@ -122,6 +138,8 @@ ENTITIES = [
                  "customer_last_name": "n. a.", "customer_email": "n. a.",
                  "customer_telephone_number": "n. a.", "address_id": DEFAULT_ID, "end_dt": OPEN_END,
                  "is_active": "Y", **_DEFAULT_ENTITY},
+        bucket_by="customer_src_id", null_is_text=True,
+        tracked=("customer_first_name", "customer_last_name", "customer_email", "customer_telephone_number"),
     ),
     Table(
         "ce_sales",
@@ -148,7 +166,8 @@ def _dimension(name, id_col, src_col, body, default, *, src_length=255, unique_s
         unique=((id_col,), (src_col,)) if unique_src else ((id_col,),),
         not_null=(id_col, src_col, *kw.pop("not_null", ())),
         lengths={src_col: src_length, **kw.pop("lengths", {})},
-        default={id_col: DEFAULT_ID, src_col: "-1", **default, **_DEFAULT_ENTITY}, **kw,
+        default={id_col: DEFAULT_ID, src_col: "-1", **default, **_DEFAULT_ENTITY}, bucket_by=src_col,
+        tracked=kw.pop("tracked", (*default, "source_system", "source_entity")), **kw,
     )
 
 
@@ -171,6 +190,8 @@ DIMENSIONS = [
         default={"date_surr_id": DEFAULT_ID, "date": dt.date(1900, 1, 1), "day": -1, "month": -1, "year": -1,
                  "quarter": -1, "is_weekend": "N", "month_name": "n. a.", "day_of_week": "n. a.",
                  **_DEFAULT_ENTITY},
+        bucket_by="date", tracked=("day", "month", "year", "quarter", "is_weekend", "month_name", "day_of_week",
+                                   "source_system", "source_entity"),
     ),
     _dimension(
         "dim_employees", "employee_surr_id", "employee_src_id",
@@ -189,6 +210,7 @@ DIMENSIONS = [
         + ", start_dt date, end_dt date, is_active string",
         {**dict.fromkeys([*_CUSTOMER_PERSON, *_CUSTOMER_PLACE], "n. a."), "is_active": "Y"},
         src_length=300, unique_src=False, not_null=("start_dt",), domains=_YES_NO,
+        tracked=(*_CUSTOMER_PERSON, *_CUSTOMER_PLACE),
         lengths={**_CUSTOMER_PERSON, **_CUSTOMER_PLACE},
     ),
     _dimension("dim_payment_methods", "payment_method_surr_id", "payment_method_src_id", "method_name string",

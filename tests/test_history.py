@@ -4,11 +4,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotbook.operators.insert_only import load_insert_only
-from lotbook.operators.scd2 import conflicting_keys, mirror_scd2, one_row_per_key, scd2_merge
+from lotbook.operators.scd2 import (
+    conflicting_keys,
+    detect_versions,
+    mirror_scd2,
+    one_row_per_key,
+    scd2_merge,
+    tracked_digest,
+)
 from lotbook.operators.upsert import upsert_type1
-from lotbook.plans import dimensions
-from lotbook.plans.entities import CUSTOMER_TRACKED
+from lotbook.schemas import TABLES
+from lotbook.sources import store as stores
+from lotbook.sources.store import Store, digest
 from tests.conftest import rows
+from tests.test_plans import scanned
 
 DAY1, DAY2, DAY3 = dt.date(2024, 1, 10), dt.date(2024, 2, 10), dt.date(2024, 3, 10)
 OPEN = dt.date(9999, 12, 31)
@@ -22,7 +31,7 @@ def snapshot(spark, **phones):
 
 
 def merge(store, frame, day):
-    return scd2_merge(store, "ce_customers_sdc", frame, CUSTOMER_TRACKED, day)
+    return scd2_merge(store, "ce_customers_sdc", frame, day)
 
 
 def versions(store):
@@ -76,7 +85,7 @@ def test_one_row_per_key_and_conflicts(spark):
 
 def flat(spark, *data):
     """Customer versions: id, phone, country, start, end, active."""
-    attributes = ", ".join(f"{c} string" for c in dimensions.CUSTOMER_TRACKED)
+    attributes = ", ".join(f"{c} string" for c in TABLES["dim_customers_sdc"].tracked)
     schema = (f"customer_id bigint, customer_src_id string, {attributes}, start_dt date, end_dt date, "
               "is_active string, source_system string, source_entity string")
     return spark.createDataFrame(
@@ -85,7 +94,7 @@ def flat(spark, *data):
 
 
 def mirror(store, frame, day):
-    return mirror_scd2(store, "dim_customers_sdc", frame, dimensions.CUSTOMER_TRACKED, day, ["customer_id"])
+    return mirror_scd2(store, "dim_customers_sdc", frame, day, ["customer_id"])
 
 
 def dim(store):
@@ -123,8 +132,7 @@ def dealers(spark, **names):
 
 
 def upsert(store, frame, day):
-    return upsert_type1(store, "dim_dealers", frame, ["dealer_name", "source_system", "source_entity"], day,
-                        ["dealer_id"])
+    return upsert_type1(store, "dim_dealers", frame, day, ["dealer_id"])
 
 
 def test_upsert_touches_changed_rows_only(spark, store):
@@ -155,3 +163,98 @@ def test_insert_only_never_changes_rows(spark, store, known_rows):
     files = len(store.read("ce_countries").inputFiles())
     load_insert_only(store, "ce_countries", again, DAY3, known_rows)
     assert len(store.read("ce_countries").inputFiles()) == files
+
+
+def folders(store, table):
+    """Data files by folder."""
+    found = {}
+    for file in store.read(table).inputFiles():
+        folder, _, name = file.rpartition("/")
+        found.setdefault(folder.partition("/data/")[2], set()).add(name)
+    return found
+
+
+@pytest.fixture
+def bucketed(spark, monkeypatch):
+    monkeypatch.setattr(stores, "BUCKET_ROWS", 4)
+    return Store.temporary(spark)
+
+
+def test_only_touched_buckets_are_written(spark, bucketed):
+    """A closed version rewrites the active rows of its bucket; all other files stay as they are."""
+    names = {f"K{i}": "1" for i in range(40)}
+    merge(bucketed, snapshot(spark, **names), DAY1)
+    before = folders(bucketed, "ce_customers_sdc")
+    assert len(before) > 8
+    assert merge(bucketed, snapshot(spark, K3="2", NEW="1"), DAY2)["SCD New Versions"] == 1
+    after = folders(bucketed, "ce_customers_sdc")
+    gone, added = set(before) - set(after), set(after) - set(before)
+    assert len(gone) == 1 and 2 <= len(added) <= 3
+    assert all(after[f] == before[f] for f in set(before) & set(after))
+    assert {f.split("/")[1] for f in gone} == {"is_active=Y"}
+    got = versions(bucketed)
+    assert len(got) == 42 and [v[1:] for v in got if v[1] == "K3"] == [
+        ("K3", "1", DAY1, dt.date(2024, 2, 9), "N"), ("K3", "2", DAY2, OPEN, "Y")]
+    assert bucketed.rows("ce_customers_sdc") == bucketed.read("ce_customers_sdc").count() == 43
+
+
+def test_mirror_and_upsert_leave_other_buckets_alone(spark, bucketed):
+    data = [(i, "p", "NO", DAY1, OPEN, "Y") for i in range(1, 41)]
+    mirror(bucketed, flat(spark, *data), DAY1)
+    before = folders(bucketed, "dim_customers_sdc")
+    data[6] = (7, "p", "NO", DAY1, DAY2, "N")
+    assert mirror(bucketed, flat(spark, *data), DAY2) == {"Inserted": 0, "Closed": 1, "Default rows": 0}
+    after = folders(bucketed, "dim_customers_sdc")
+    assert len(set(before) - set(after)) == 1 and len(dim(bucketed)) == 40
+    assert [d for d in dim(bucketed) if d[1] == "7"] == [(7, "7", "NO", DAY2, "N", DAY2)]
+
+    upsert(bucketed, dealers(spark, **{f"d{i}": "A" for i in range(1, 41)}), DAY1)
+    before = folders(bucketed, "dim_dealers")
+    assert upsert(bucketed, dealers(spark, d5="B"), DAY2)["Updated"] == 1
+    after = folders(bucketed, "dim_dealers")
+    assert len(set(before) - set(after)) == len(set(after) - set(before)) == 1
+    assert rows(bucketed.read("dim_dealers").filter("update_dt = '2024-02-10'"), "dealer_src_id", "dealer_name") == [
+        ("5", "B")]
+
+
+def test_growth_and_many_commits_keep_the_rows(spark, bucketed, monkeypatch):
+    """Buckets are split as the table grows and their folders merged after many commits; a new store finds it all."""
+    monkeypatch.setattr(stores, "MOST_FOLDERS", 3)
+    for day in range(1, 9):
+        merge(bucketed, snapshot(spark, **{f"K{i}": str(day % 3) for i in range(6 * day)}), dt.date(2024, 5, day))
+    again = Store(spark, bucketed.root, "bucketed_again")
+    for one in (bucketed, again):
+        assert len(versions(one)) == sum(6 * day for day in range(1, 9))
+        active = one.read("ce_customers_sdc").filter("is_active = 'Y' AND customer_id > 0")
+        assert active.count() == active.select("customer_src_id").distinct().count() == 48
+        assert {v[2] for v in versions(one) if v[5] == "Y"} == {str(8 % 3)}
+    name = bucketed.name("ce_customers_sdc")
+    assert spark.sql(f"SELECT count(*) FROM {name}").first()[0] == bucketed.rows("ce_customers_sdc")
+    folders_of = folders(bucketed, "ce_customers_sdc")
+    counts = {}
+    for folder in folders_of:
+        place = folder.partition("/")[2]
+        counts[place] = counts.get(place, 0) + 1
+    assert max(counts.values()) <= 4
+
+
+def test_a_failed_commit_changes_nothing(spark, bucketed, monkeypatch):
+    merge(bucketed, snapshot(spark, A="1", B="1"), DAY1)
+    before = versions(bucketed)
+    monkeypatch.setattr(bucketed, "_point", lambda table, folder: (_ for _ in ()).throw(RuntimeError("no")))
+    with pytest.raises(RuntimeError):
+        merge(bucketed, snapshot(spark, A="2"), DAY2)
+    assert versions(bucketed) == before == versions(Store(spark, bucketed.root, "bucketed_after"))
+
+
+def test_changes_are_found_by_key_and_digest(spark, bucketed):
+    merge(bucketed, snapshot(spark, A="1", B="1"), DAY1)
+    spec = TABLES["ce_customers_sdc"]
+    found = detect_versions(bucketed.read_parts(spec.name), snapshot(spark, A="2", B="1"), spec.src_col,
+                            tracked_digest(spec))
+    assert rows(found, "customer_src_id", "change") == [("A", "version")]
+    read = set().union(*scanned(found)) & set(spec.columns)
+    assert read == {"customer_src_id"}  # the active flag is a folder's
+    assert digest([F.lit(None), F.lit("a")])._jc.toString() != digest([F.lit("a"), F.lit(None)])._jc.toString()
+    pairs = spark.createDataFrame([(None, "a"), ("a", None), ("", "a"), ("a", "")], "x string, y string")
+    assert pairs.select(digest([F.col("x"), F.col("y")])).distinct().count() == 4

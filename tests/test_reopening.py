@@ -12,7 +12,7 @@ from lotbook.operators.insert_only import load_insert_only, not_in_table
 from lotbook.operators.scd2 import detect_mirror_changes, detect_versions
 from lotbook.plans.warehouse import run_warehouse
 from lotbook.sources.scratch import new_folder
-from lotbook.sources.store import Store
+from lotbook.sources.store import DIGEST, Store, digest
 from tests import feeds
 from tests.conftest import rows
 
@@ -106,14 +106,15 @@ def test_small_delta_meets_a_reduced_target_in_its_own_partitions(spark, store,
 def test_history_joins_do_not_broadcast_a_large_target(spark):
     target = spark.range(5000).select(
         F.col("id").cast("string").alias("k"), F.lit("a").alias("t"), F.lit("Y").alias("is_active"),
-        F.col("id").alias("n"), F.lit(DAY).alias("start_dt"), F.lit(DAY).alias("end_dt"))
+        F.col("id").alias("n"), F.lit(DAY).alias("start_dt"), F.lit(DAY).alias("end_dt")).withColumn(
+        DIGEST, digest([F.col("t")]))
     snapshot = spark.createDataFrame([("7", "b"), ("x", "a")], "k string, t string")
     for known, whole in ((2, False), (10**6, True)):
-        versions = detect_versions(target, snapshot, "k", ["t"], known)
+        versions = detect_versions(target, snapshot, "k", digest([F.col("t")]), known)
         assert rows(versions, "k", "change") == [("7", "version"), ("x", "new")]
         text = versions._jdf.queryExecution().optimizedPlan().toString()
         assert ("strategy=merge" in text) == whole and ("LeftSemi" in text) != whole
     source = snapshot.withColumn("is_active", F.lit("Y")).withColumn("start_dt", F.lit(DAY)).withColumn(
         "end_dt", F.lit(DAY))
-    mirror = detect_mirror_changes(target, source, "k", "n", ["t"], ["start_dt", "end_dt", "is_active"], 2)
+    mirror = detect_mirror_changes(target, source, "k", "n", digest([F.col("t")]), ["start_dt", "end_dt", "is_active"], 2)
     assert rows(mirror, "k", "change", "_row") == [("7", "reopen", 7), ("x", "insert", None)]
