@@ -94,6 +94,6 @@ def load_insert_only(
     if is_small(known_rows):
         numbered = number_small(fresh, spec.id_col, order, start)
     else:
-        numbered = assign_surrogate(fresh, spec.id_col, order, start).rows
+        numbered = assign_surrogate(fresh, spec.id_col, order, start, once=True).rows
     added, default_rows = append_new(store, table, numbered, load_dt)
     return {"New rows": added, "Default rows": default_rows}

@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotbook.schemas import DEFAULT_ID
 
@@ -21,6 +22,8 @@ from lotbook.schemas import DEFAULT_ID
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.0005  # a key with more than this share of the rows is split; at most 2,000 such keys can exist
+SKETCH_ITEMS = 20_000  # keys that a sketch keeps; a sketch of 20,000 keys of 50 bytes takes 1 MB
+SKETCH_SLOTS = 256
 SLICES = 64  # least number of slices of a split key
 SLICE_ROWS = 250_000  # rows a slice should hold at most
 
@@ -41,26 +44,50 @@ def fits_broadcast(rows: DataFrame, limit: int = BROADCAST_ROWS, known_rows: int
     return count <= limit and (total or 0) <= BROADCAST_BYTES
 
 
-def _frequent(rows: DataFrame, keys: Sequence[str], share: float) -> tuple[DataFrame, int]:
-    """Keys with more than ``share`` of all rows, and the rows of the most frequent of them (0 without any).
+class HotKeys:
+    """The frequent keys of several lookups over the same rows, found together in one pass when first asked for.
 
-    One column-pruned pass with map-side counts; the most frequent ``1 / share`` keys hold every such key.
+    ``keysets`` names the key columns of each lookup. Each task keeps a sketch of frequent items per lookup, and sketches
+    are merged in two steps, so neither the keys nor their counts are shuffled. A key that holds a little more than
+    ``share`` of the rows may be missed, by at most ``3.5 / SKETCH_ITEMS`` of them; none is listed that holds less.
     """
-    seen = Observation()
-    top = (
-        rows.select(*keys).observe(seen, F.count(F.lit(1)).alias("total"))
-        .groupBy(*keys).agg(F.count("*").alias("_n"))
-        .orderBy(F.desc("_n")).limit(math.ceil(1 / share))
-        .collect()
-    )
-    hot = [r for r in top if r["_n"] > max(seen.get["total"] * share, 1)]
-    frame = rows.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], rows.select(*keys).schema)
-    return frame, hot[0]["_n"] if hot else 0
+
+    def __init__(self, rows: DataFrame, keysets: dict[str, Sequence[str]], share: float = HOT_SHARE):
+        self.rows, self.keysets, self.share = rows, keysets, share
+        self._found: dict[str, tuple[DataFrame, int]] | None = None
+
+    def get(self, name: str) -> tuple[DataFrame, int]:
+        """The frequent keys of a lookup, and the rows of the most frequent of them (0 without any)."""
+        if self._found is None:
+            self._found = self._sketched()
+        return self._found[name]
+
+    def _sketched(self) -> dict[str, tuple[DataFrame, int]]:
+        names, k = list(self.keysets), math.ceil(1 / self.share)
+        texts = [F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{j}") for j, c in enumerate(self.keysets[n])]))
+                 .alias(f"k{i}") for i, n in enumerate(names)]
+        slot = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLOTS)).alias("slot")
+        parts = self.rows.select(slot, *texts).groupBy("slot").agg(
+            F.count("*").alias("n"),
+            *[F.expr(f"approx_top_k_accumulate(k{i}, {SKETCH_ITEMS})").alias(f"s{i}") for i in range(len(names))])
+        # Grouped by a constant, as a merge of no sketch at all, in an empty partition, is an error in the engine.
+        found = parts.groupBy(F.lit("all")).agg(F.sum("n").alias("n"), *[
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}, {SKETCH_ITEMS}), {k})").alias(f"t{i}")
+            for i in range(len(names))]).collect()
+        out = {}
+        for i, name in enumerate(names):
+            hot = [r for row in found for r in row[f"t{i}"] if r["count"] > max(row["n"] * self.share, 1)]
+            own = self.rows.select(*[F.col(f"`{c}`") for c in self.keysets[name]]).schema
+            plain = T.StructType([T.StructField(f"c{j}", field.dataType) for j, field in enumerate(own)])
+            listed = self.rows.sparkSession.createDataFrame([(r["item"],) for r in hot], "item string")
+            keys = listed.select(F.from_json("item", plain).alias("key")).select("key.*").toDF(*own.names)
+            out[name] = keys, max((r["count"] for r in hot), default=0)
+        return out
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys with more than ``share`` of all rows: fewer than ``1 / share`` by construction."""
-    return _frequent(rows, keys, share)[0]
+    return HotKeys(rows, {"keys": keys}, share).get("keys")[0]
 
 
 def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool = False) -> DataFrame:
@@ -129,33 +156,39 @@ def touched_rows(target: DataFrame, delta: DataFrame, keys: Sequence[str], delta
 def lookup_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", *, null_safe: bool = False,
     known_rows: int | None = None, keys_from: DataFrame | None = None, limit: int | None = None,
-    free_text: bool = False,
+    free_text: bool = False, hot: tuple[HotKeys, str] | None = None,
 ) -> DataFrame:
     """``left``, ``left_anti`` or ``inner`` join with a broadcast up to a checked size, sliced beyond it.
 
-    ``known_rows`` is an upper bound of the right side's rows, if the caller has one. Frequent keys are counted
-    on ``keys_from`` where it gives the left side's keys more cheaply than the left side itself.
+    ``known_rows`` is an upper bound of the right side's rows, if the caller has one. Frequent keys are looked for
+    on ``keys_from`` where it gives the left side's keys more cheaply than the left side itself, or taken from ``hot``,
+    where a caller finds those of several lookups together: the keys and this lookup's name among them.
     """
     limit = BROADCAST_ROWS if limit is None else limit
     if fits_broadcast(right, limit, known_rows, free_text):
         return keyed_join(left, F.broadcast(right), keys, how, null_safe)
-    hot, most = _frequent(left if keys_from is None else keys_from, keys, HOT_SHARE)
+    if hot is None:
+        hot = HotKeys(left if keys_from is None else keys_from, {"keys": keys}), "keys"
+    found, most = hot[0].get(hot[1])
+    found = found.toDF(*keys)
     if not most:
         return keyed_join(left, right.hint("merge"), keys, how, null_safe)
-    return sliced_join(left, right, keys, how, hot, null_safe, max(SLICES, math.ceil(most / SLICE_ROWS)))
+    return sliced_join(left, right, keys, how, found, null_safe, max(SLICES, math.ceil(most / SLICE_ROWS)))
 
 
 def resolve(
     rows: DataFrame, lookup: DataFrame, natural_key: Column, lookup_key: str, id_col: str, *,
     known_rows: int | None = None, default: int | None = DEFAULT_ID, keys_from: DataFrame | None = None,
+    hot: tuple[HotKeys, str] | None = None,
 ) -> DataFrame:
     """Add ``id_col`` by looking a natural key up; unmatched rows get the default member.
 
-    ``keys_from`` holds the columns of ``natural_key`` and is cheaper to read than ``rows``, for counting hot keys.
+    ``keys_from`` holds the columns of ``natural_key`` and is cheaper to read than ``rows``, for finding hot keys;
+    ``hot`` has them already, under a name.
     """
     side = lookup.select(F.col(lookup_key).alias("_key"), F.col(id_col).alias("_id"))
     keyed = rows.select("*", natural_key.alias("_key"))
     counted = None if keys_from is None else keys_from.select(natural_key.alias("_key"))
-    found = lookup_join(keyed, side, ["_key"], known_rows=known_rows, keys_from=counted)
+    found = lookup_join(keyed, side, ["_key"], known_rows=known_rows, keys_from=counted, hot=hot)
     value = F.col("_id") if default is None else F.coalesce(F.col("_id"), F.lit(default).cast("bigint"))
     return found.select(*rows.columns, value.alias(id_col))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from lotbook.operators.lookup import lookup_join
+from lotbook.operators.lookup import HotKeys, lookup_join
 from lotbook.sources.feeds import is_offline
 
 
 def prefer_primary(
     primary: DataFrame, secondary: DataFrame, taken: DataFrame, key: str, *, keys_from: DataFrame | None = None,
-    known_rows: int | None = None,
+    known_rows: int | None = None, hot: tuple[HotKeys, str] | None = None,
 ) -> DataFrame:
     """All primary rows plus the secondary rows whose key is not among ``taken``.
 
@@ -18,7 +18,7 @@ def prefer_primary(
     keeps the secondary row of the same key away.
     """
     keys = taken.select(key).distinct()
-    left = lookup_join(secondary, keys, [key], "left_anti", keys_from=keys_from, known_rows=known_rows)
+    left = lookup_join(secondary, keys, [key], "left_anti", keys_from=keys_from, known_rows=known_rows, hot=hot)
     return primary.unionByName(left)
 
 

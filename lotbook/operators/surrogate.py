@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotbook.sources.scratch import save
+from lotbook.sources.scratch import save, save_counted
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above, the row position below this bit
 ONE_TASK_ROWS = 100_000  # up to this many new rows, known beforehand, are shuffled to one task and sorted there
@@ -43,7 +43,7 @@ def number_small(rows: DataFrame, id_col: str, order_by: Sequence[str], start: i
 
 def assign_surrogate(
     rows: DataFrame, id_col: str, order_by: Sequence[str], start: int = 1, within: Sequence[str] = (),
-    known_rows: int | None = None,
+    known_rows: int | None = None, once: bool = False,
 ) -> Numbered:
     """Number rows ``start, start + 1, ...`` ascending by ``order_by``, separately for each ``within`` group.
 
@@ -51,8 +51,12 @@ def assign_surrogate(
     number of a row is then its position in its partition plus the rows of its group in earlier partitions.
     Only one count per partition and group reaches the driver, and a group may span any number of partitions.
     ``order_by`` should tell rows apart, or the order among equal rows is arbitrary. Groups are few and
-    never NULL, such as kinds of change or periods. ``known_rows`` is an upper bound of the rows, if known.
+    never NULL, such as kinds of change or periods. ``known_rows`` is an upper bound of the rows, if known. With
+    ``once``, rows whose making is costly are written and counted first: the engine samples the written rows for the
+    ranges instead of working them out a second time, and a small number of them goes to one task.
     """
+    if once and not is_small(known_rows):
+        rows, known_rows = save_counted(rows, "unnumbered")
     keys = [F.col(k).asc() for k in [*within, *order_by]]
     parts = rows.repartition(1) if is_small(known_rows) else rows.repartitionByRange(*keys)
     placed = parts.sortWithinPartitions(*keys).withColumn("_position", F.monotonically_increasing_id())

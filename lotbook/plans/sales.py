@@ -12,7 +12,7 @@ from lotbook.functions.casts import safe_date, safe_number
 from lotbook.functions.text import cut, is_filled, key_part, prefixed
 from lotbook.operators.audit import AuditLog
 from lotbook.operators.insert_only import next_id, not_in_table, with_stamps
-from lotbook.operators.lookup import lookup_join, resolve
+from lotbook.operators.lookup import HotKeys, lookup_join, resolve
 from lotbook.operators.measures import MONEY, percent_of
 from lotbook.operators.merge import prefer_primary
 from lotbook.operators.periods import DEFAULT_PERIODS, Period, check_periods, uncovered, within_periods
@@ -25,6 +25,7 @@ from lotbook.sources.store import Store
 
 # What decides a customer: the lookup chain over it runs once per distinct value, not once per sale.
 CUSTOMER_PATH = tuple(c for c in e.CUSTOMERS.inputs if c != "phone")
+LOADED_KEY = ["sale_src_id", "source_id"]
 _SALE_IDS = ("customer_id", "employee_id", "car_id", "dealer_id", "date_id", "sales_channel_id",
              "payment_method_id")
 _MEASURES = {
@@ -83,13 +84,14 @@ def sales_to_load(
     gives one row per spelling.
     """
     texts = sale_rows(feed, slash_format)
+    # One pass finds the frequent keys of all joins, if any of them is too large for a broadcast.
+    single = ("_sale", "_dealer", "_channel", "_payment", "_car", "_employee", "_date")
+    hot = HotKeys(texts, {**{c: [c] for c in single}, "loaded": LOADED_KEY, "customer": CUSTOMER_PATH})
     # Rows that are not wanted go first, by their id alone, so the lookups only see what will be loaded.
-    online_ids = feed.filter(~is_offline()).select(F.col("id").alias("_sale"))
     offline_ids = feed.filter(is_offline()).select(F.col("id").alias("_sale"))
     wanted = prefer_primary(texts.filter(is_offline()), texts.filter(~is_offline()), offline_ids, "_sale",
-                            keys_from=online_ids).drop("_sale")
-    sales = not_in_table(wanted, store, "ce_sales", ["sale_src_id", "source_id"],
-                         keys_from=feed.select(*_sale_keys()))
+                            hot=(hot, "_sale")).drop("_sale")
+    sales = not_in_table(wanted, store, "ce_sales", LOADED_KEY, hot=(hot, "loaded"))
     lookups = (
         (e.DEALERS, "_dealer"), (e.SALES_CHANNELS, "_channel"), (e.PAYMENT_METHODS, "_payment"),
         (e.CARS, "_car"), (e.EMPLOYEES, "_employee"),
@@ -98,14 +100,14 @@ def sales_to_load(
         spec = TABLES[entity.table]
         members = store.read(entity.table).filter(F.col("source_system").isin(*e.FEED_SYSTEMS))
         sales = resolve(sales, members, F.col(text), spec.src_col, spec.id_col,
-                        known_rows=store.rows(entity.table), keys_from=texts).drop(text)
+                        known_rows=store.rows(entity.table), hot=(hot, text)).drop(text)
     sales = resolve(sales, store.read("ce_dates"), F.col("_date"), "date", "date_id",
-                    known_rows=store.rows("ce_dates"), keys_from=texts).drop("_date")
+                    known_rows=store.rows("ce_dates"), hot=(hot, "_date")).drop("_date")
 
     # The chain of six lookups runs on the distinct customer paths; a sale needs one join.
     customers, paths = save_counted(customer_ids(feed if people is None else people, store), "customer-ids")
     sales = lookup_join(sales, customers, list(CUSTOMER_PATH), null_safe=True, known_rows=paths,
-                        keys_from=feed, free_text=True).drop(*CUSTOMER_PATH)
+                        hot=(hot, "customer"), free_text=True).drop(*CUSTOMER_PATH)
     return sales.select("sale_src_id", "source_id", *_SALE_IDS, *_MEASURES, *LINEAGE).distinct()
 
 
@@ -114,7 +116,7 @@ def load_sales(
     people: DataFrame | None = None,
 ) -> dict[str, int]:
     fresh = sales_to_load(feed, store, slash_format, people)
-    numbered = assign_surrogate(fresh, "sale_id", SALE_ORDER, start=next_id(store, "ce_sales"))
+    numbered = assign_surrogate(fresh, "sale_id", SALE_ORDER, start=next_id(store, "ce_sales"), once=True)
     if numbered.total:
         before = store.rows("ce_sales")
         store.append("ce_sales", with_stamps(numbered.rows, load_dt))
@@ -169,7 +171,7 @@ def load_fact(
     check_periods(periods)
     numbered = assign_surrogate(
         fact_rows(store, periods, rate_is_fraction), "sale_surr_id", ["sale_id"], start=FIRST_SALE_NUMBER,
-        within=["sales_period"],
+        within=["sales_period"], once=True,
     )
     counts = {name: n for (name,), n in numbered.counts.items()}
     store.overwrite_partitions(

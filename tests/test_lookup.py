@@ -102,3 +102,25 @@ def test_texts_beyond_the_byte_limit_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", 999)
     assert not lookup.fits_broadcast(wide, known_rows=10, free_text=True) and not lookup.fits_broadcast(wide)
     assert lookup.fits_broadcast(wide, known_rows=10)
+
+
+def test_one_pass_finds_the_hot_keys_of_all_lookups(spark, skewed):
+    """Seven lookups above the limit take one job for their frequent keys, and find what single passes find."""
+    wide = skewed.select("*", *[(F.col("v") % n).alias(f"m{n}") for n in (2, 3, 5, 7, 9000)]).withColumn(
+        "t", F.when(F.col("v") % 4 == 0, F.lit("é\"x")))
+    keysets = {"k": ["k"], **{f"m{n}": [f"m{n}"] for n in (2, 3, 5, 7, 9000)}, "both": ["k", "t"]}
+    tracker, group = spark.sparkContext.statusTracker(), "hot-keys"
+    hot = lookup.HotKeys(wide, keysets)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        hot.get("k")
+        assert len(tracker.getJobIdsForGroup(group)) == 1
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert rows(hot.get("k")[0]) == [(7,), (None,)] and hot.get("k")[1] == 2001
+    assert len(rows(hot.get("m7")[0])) == 7 and rows(hot.get("m9000")[0]) == []
+    counts = wide.groupBy("k", "t").count().filter(F.col("count") > 6000 * lookup.HOT_SHARE).drop("count")
+    assert rows(hot.get("both")[0], "k", "t") == rows(counts, "k", "t")
+    assert rows(lookup.HotKeys(wide.limit(0), keysets).get("k")[0]) == []

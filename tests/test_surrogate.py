@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lotbook.operators import surrogate
 from lotbook.operators.surrogate import assign_surrogate, number_small
 from tests.conftest import rows
 
@@ -59,3 +60,18 @@ def test_nothing_to_number(frame):
 def test_ids_do_not_change_when_read_again(frame):
     numbered = assign_surrogate(frame, "n", ["key"]).rows
     assert rows(numbered) == rows(numbered.repartition(7))
+
+
+def test_costly_rows_are_worked_out_once(spark, monkeypatch):
+    """Numbering by range samples written rows, so a row of the input is made a single time."""
+    monkeypatch.setattr(surrogate, "ONE_TASK_ROWS", 10)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    numbered = assign_surrogate(spark.range(500).mapInArrow(count, "id long"), "n", ["id"], once=True)
+    assert sorted(tuple(r) for r in numbered.rows.select("id", "n").collect()) == [(i, i + 1) for i in range(500)]
+    assert made.value == 500 and numbered.total == 500
