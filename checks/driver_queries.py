@@ -20,8 +20,9 @@ from lotbook.operators.upsert import upsert_type1
 from lotbook.plans import dimensions, entities, sales
 from lotbook.plans.warehouse import EntityLayer, load_dimensions, run_warehouse
 from lotbook.schemas import ENTITIES
-from lotbook.sources.feeds import CANONICAL, LINEAGE, OFFLINE, ONLINE, Feed, is_offline, read_csv
+from lotbook.sources.feeds import CANONICAL, LINEAGE, OFFLINE, ONLINE, Feed, conform, is_offline, read_csv
 from lotbook.sources.feeds import csv_rejects as read_rejects
+from lotbook.sources.inbox import Inbox
 from lotbook.sources.scratch import new_folder, save
 from lotbook.sources.store import Store
 
@@ -68,6 +69,21 @@ def csv_rejects_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rejects(spark, tf.online_feed(tf.sale_lines(spark, sf_dir)), ONLINE)
 
 
+def staged_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of files of both feeds, staged one after the other: each run takes the new files only."""
+    lines, found = tf.sale_lines(spark, sf_dir), []
+    for feed, rows in ((OFFLINE, tf.offline_feed(lines)), (ONLINE, tf.online_feed(lines))):
+        path = new_folder(spark, "inbox")
+        inbox = Inbox(spark, path, feed, new_folder(spark, "staged"))
+        for drop, condition in enumerate((F.col("order_day") < F.lit(tf.CUT_DATE), F.col("order_day") >= F.lit(tf.CUT_DATE)), 1):
+            tf.as_text(rows.filter(condition).drop("order_day")).write.mode("append").text(path)
+            inbox.stage()
+            new = inbox.waiting()
+            found.append(conform(inbox.rows(new), feed).withColumn("drop", F.lit(drop).cast("long")))
+            inbox.done(new)
+    return reduce(DataFrame.unionByName, found)
+
+
 def staging_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.staged_feed(spark, sf_dir).select(*CANONICAL, *LINEAGE)
 
@@ -449,6 +465,7 @@ def all_queries() -> dict[str, Query]:
         "csv_scan": csv_scan,
         "csv_scan_online": csv_scan_online,
         "csv_rejects": csv_rejects,
+        "staged_drops": staged_drops,
         "staging_union": staging_union,
         "safe_casts": safe_casts,
         "cast_rejects": cast_rejects,

@@ -579,6 +579,9 @@ SELECT problem, count(*) AS n_lines FROM (
   FROM (SELECT CAST(split_part(id, '-', 1) AS BIGINT) AS o FROM sale_lines WHERE return_flag <> 'R') AS l) AS p
 GROUP BY problem""",
         "staging_union": f"SELECT {', '.join(CANONICAL)}, source_system, source_entity FROM feed",
+        "staged_drops": f"""
+SELECT {', '.join(CANONICAL)}, source_system, source_entity,
+  CAST(CASE WHEN order_day < {CUT} THEN 1 ELSE 2 END AS BIGINT) AS "drop" FROM feed""",
         "safe_casts": f"""
 SELECT id, source_system, {', '.join(f"{number(c, kind)} AS {m}" for m, (c, kind) in MEASURES.items())},
   {YEAR} AS car_year, {DATE} AS sale_day FROM feed""",

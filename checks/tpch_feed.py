@@ -146,6 +146,11 @@ def unstaged(spark: SparkSession, sf_dir: str) -> Staged:
     return Staged(offline_feed(lines), online_feed(lines))
 
 
+def as_text(rows: DataFrame) -> DataFrame:
+    """Rows of a feed as delimited lines in the column ``value``."""
+    return rows.select(F.concat_ws(";", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in rows.columns]).alias("value"))
+
+
 def csv_lines(rows: DataFrame) -> DataFrame:
     """Rows of the offline feed as delimited lines, some of them broken, in the column ``value``.
 

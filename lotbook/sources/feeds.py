@@ -97,9 +97,9 @@ def _problem(line: Column, feed: Feed) -> Column:
     )
 
 
-def _lines(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
+def judged_lines(lines: DataFrame, feed: Feed) -> DataFrame:
     """Lines with their ``problem``. Header lines, the column names in any case, and empty lines are left out."""
-    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    lines = lines.withColumnRenamed("value", "line")
     plain = F.lower(F.replace(F.col("line"), F.lit('"'), F.lit("")))
     rows = lines.filter((plain != ";".join(feed.columns.values()).lower()) & (F.col("line") != ""))
     return rows.select("line", _problem(F.col("line"), feed).alias("problem"))
@@ -111,6 +111,11 @@ def _multi_line(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
         **_CSV, header=True, multiLine=True, columnNameOfCorruptRecord=_CORRUPT).csv(path)
 
 
+def parsed(feed: Feed) -> Column:
+    """The record of a sound ``line``."""
+    return F.from_csv("line", ", ".join(f"`{name}` STRING" for name in feed.columns.values()), _CSV)
+
+
 def read_csv(spark: SparkSession, path: str, feed: Feed, multi_line: bool = False) -> DataFrame:
     """All-text scan of the sound records. Unquoted empty is NULL, quoted empty stays ``''``.
 
@@ -120,9 +125,8 @@ def read_csv(spark: SparkSession, path: str, feed: Feed, multi_line: bool = Fals
     """
     if multi_line:
         return _multi_line(spark, path, feed).filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
-    ddl = ", ".join(f"`{name}` STRING" for name in feed.columns.values())
-    sound = _lines(spark, path, feed).filter("problem IS NULL")
-    return sound.select(F.from_csv("line", ddl, _CSV).alias("r")).select("r.*")
+    sound = judged_lines(spark.read.text(path), feed).filter("problem IS NULL")
+    return sound.select(parsed(feed).alias("r")).select("r.*")
 
 
 def csv_rejects(spark: SparkSession, path: str, feed: Feed, multi_line: bool = False) -> DataFrame:
@@ -133,7 +137,7 @@ def csv_rejects(spark: SparkSession, path: str, feed: Feed, multi_line: bool = F
         broken = _multi_line(spark, path, feed).filter(F.col(_CORRUPT).isNotNull() & some)
         line = F.col(_CORRUPT)
         return broken.select(F.coalesce(_problem(line, feed), F.lit("unreadable")).alias("problem"), line.alias("line"))
-    return _lines(spark, path, feed).filter("problem IS NOT NULL").select("problem", "line")
+    return judged_lines(spark.read.text(path), feed).filter("problem IS NOT NULL").select("problem", "line")
 
 
 def stage(feed_rows: DataFrame, path: str) -> DataFrame:

@@ -1,4 +1,7 @@
+import pytest
+
 from lotbook.sources.feeds import CANONICAL, OFFLINE, ONLINE, conform, csv_rejects, read_csv, stage
+from lotbook.sources.inbox import Inbox
 from lotbook.sources.scratch import new_folder, save_counted, scratch_root
 from tests import feeds
 from tests.conftest import rows
@@ -74,3 +77,47 @@ def test_broken_records_of_a_multi_line_scan(spark, tmp_path):
     path.write_text("\n".join([";".join(OFFLINE.columns.values()), _line(id="4", customername='"two\nlines"'), few]) + "\n")
     assert rows(read_csv(spark, str(path), OFFLINE, multi_line=True), "id", "customername") == [("4", "two\nlines")]
     assert rows(csv_rejects(spark, str(path), OFFLINE, multi_line=True), "problem") == [("missing columns",)]
+
+
+def _drop(folder, name, *lines):
+    (folder / name).write_text("\n".join([";".join(OFFLINE.columns.values()), *lines]) + "\n")
+
+
+def _numbered(number, *more):
+    return ";".join([str(number), *["x"] * (len(OFFLINE.columns) - 1), *more])
+
+
+def test_each_run_stages_new_files_only(spark, tmp_path):
+    folder, staged = tmp_path / "inbox", str(tmp_path / "staged")
+    folder.mkdir()
+    inbox = Inbox(spark, str(folder), OFFLINE, staged)
+    assert inbox.stage() == [] and inbox.waiting() == [] and inbox.rows().collect() == []
+    _drop(folder, "a.csv", _numbered(1), _numbered(2), _numbered(3, "surplus"))
+    _drop(folder, "b.csv", _numbered(4))
+    assert len(inbox.stage()) == 1
+    first = inbox.waiting()
+    assert sorted(r["id"] for r in inbox.rows(first).collect()) == ["1", "2", "4"]
+    assert [r["problem"] for r in inbox.rejects(first).collect()] == ["surplus columns"]
+    # The load of the first batch is not reported yet: it waits, also for another object, beside the second one.
+    _drop(folder, "c.csv", _numbered(5))
+    again = Inbox(spark, str(folder), OFFLINE, staged)
+    second = again.stage()
+    assert len(second) == 1 and [r["id"] for r in again.rows(second).collect()] == ["5"]
+    assert again.waiting() == [*first, *second]
+    again.done(first)
+    assert inbox.waiting() == second and inbox.rows().count() == 4
+    inbox.done(second)
+    assert again.waiting() == [] and again.stage() == []
+
+
+def test_a_failed_run_stages_its_files_again(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "inbox"
+    folder.mkdir()
+    inbox = Inbox(spark, str(folder), OFFLINE, str(tmp_path / "staged"))
+    _drop(folder, "a.csv", _numbered(1))
+    with monkeypatch.context() as broken:
+        broken.setattr(inbox, "_batch", lambda number: (_ for _ in ()).throw(OSError("no")))
+        with pytest.raises(Exception, match="no"):
+            inbox.stage()
+    assert inbox.waiting() == []
+    assert len(inbox.stage()) == 1 and [r["id"] for r in inbox.rows(inbox.waiting()).collect()] == ["1"]
