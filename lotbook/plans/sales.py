@@ -16,7 +16,7 @@ from lotbook.operators.lookup import HotKeys, lookup_join, resolve
 from lotbook.operators.measures import MONEY, percent_of
 from lotbook.operators.merge import prefer_primary
 from lotbook.operators.periods import DEFAULT_PERIODS, Period, check_periods, uncovered, within_periods
-from lotbook.operators.surrogate import assign_surrogate
+from lotbook.operators.surrogate import Numbered, assign_surrogate
 from lotbook.plans import entities as e
 from lotbook.schemas import DEFAULT_ID, TABLES
 from lotbook.sources.feeds import LINEAGE, OFFLINE, ONLINE, is_offline
@@ -124,6 +124,7 @@ def load_sales(
     return {"Inserted": numbered.total}
 
 
+MOST_RUNS = 100_000  # runs of sale ids that are broadcast at most
 FIRST_SALE_NUMBER = 2  # fixed value: numbering starts here in every period
 # Fact reference -> (dimension, its key, entity id on the sale).
 STAR = {
@@ -164,15 +165,57 @@ def fact_rows(store: Store, periods: Sequence[Period], rate_is_fraction: bool =
     )
 
 
+def sale_runs(store: Store, periods: Sequence[Period]) -> list[tuple[str, int, int, int]] | None:
+    """Unbroken runs of sale ids within each period: period, first and last id, and the period's rows before the run.
+
+    A load numbers its sales by date, so a period's sales of one load have neighbouring ids. One pass over two columns
+    of ``ce_sales`` counts them per file; the driver joins files that go on from each other, which leaves about one run
+    for each load. None if some file has gaps or files overlap.
+    """
+    sales = within_periods(store.read("ce_sales").select("*", F.col("_metadata.file_path").alias("_file")), periods)
+    counted = sales.groupBy("sales_period", "_file").agg(
+        F.min("sale_id").alias("first"), F.max("sale_id").alias("last"), F.count("*").alias("n")).collect()
+    runs: list[tuple[str, int, int, int]] = []
+    for row in sorted(counted, key=lambda r: (r["sales_period"], r["first"])):
+        period, first, last, n = row["sales_period"], row["first"], row["last"], row["n"]
+        before = runs[-1] if runs and runs[-1][0] == period else None
+        if n != last - first + 1 or before and first <= before[2]:
+            return None
+        if before and first == before[2] + 1:
+            runs[-1] = (period, before[1], last, before[3])
+        else:
+            runs.append((period, first, last, before[3] + before[2] - before[1] + 1 if before else 0))
+    return runs
+
+
+def numbered_fact(store: Store, periods: Sequence[Period], rate_is_fraction: bool = False) -> Numbered:
+    """Fact rows numbered from ``FIRST_SALE_NUMBER`` by ascending sale id in each period.
+
+    Where sale ids have few runs, a row's number follows from its sale id alone, without a sort; the list of runs is
+    broadcast. Otherwise rows are sorted.
+    """
+    rows = fact_rows(store, periods, rate_is_fraction)
+    runs = sale_runs(store, periods)
+    if runs is None or len(runs) > MOST_RUNS:
+        return assign_surrogate(rows, "sale_surr_id", ["sale_id"], start=FIRST_SALE_NUMBER, within=["sales_period"],
+                                once=True)
+    counts = {}
+    for period, first, last, before in runs:
+        counts[period,] = before + last - first + 1
+    listed = store.spark.createDataFrame(
+        [(period, first, last, FIRST_SALE_NUMBER + before - first) for period, first, last, before in runs],
+        "_period string, _first bigint, _last bigint, _shift bigint")
+    own = (F.col("sales_period") == F.col("_period")) & F.col("sale_id").between(F.col("_first"), F.col("_last"))
+    numbered = rows.join(F.broadcast(listed), own).withColumn("sale_surr_id", F.col("sale_id") + F.col("_shift"))
+    return Numbered(numbered.drop("_period", "_first", "_last", "_shift"), counts)
+
+
 def load_fact(
     store: Store, load_dt: dt.date, periods: Sequence[Period] = DEFAULT_PERIODS, rate_is_fraction: bool = False
 ) -> dict[str, int]:
     """Recompute the given periods in one job and replace them; rows per period."""
     check_periods(periods)
-    numbered = assign_surrogate(
-        fact_rows(store, periods, rate_is_fraction), "sale_surr_id", ["sale_id"], start=FIRST_SALE_NUMBER,
-        within=["sales_period"], once=True,
-    )
+    numbered = numbered_fact(store, periods, rate_is_fraction)
     counts = {name: n for (name,), n in numbered.counts.items()}
     store.overwrite_partitions(
         "fct_sales", with_stamps(numbered.rows, load_dt), [p.name for p in periods], counts

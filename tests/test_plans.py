@@ -8,10 +8,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lotbook.operators.periods import DEFAULT_PERIODS, within_periods
+from lotbook.operators.periods import DEFAULT_PERIODS, Period, within_periods
 from lotbook.operators.surrogate import assign_surrogate
 from lotbook.plans import entities, sales
 from tests import feeds
+from tests.conftest import rows
 
 DAY = dt.date(2024, 1, 10)
 
@@ -73,3 +74,34 @@ def test_numbering_needs_no_window_and_no_second_shuffle(spark):
     numbered = assign_surrogate(spark.range(100).select(F.col("id").alias("k")), "n", ["k"]).rows
     text = plan(numbered)
     assert "Window" not in text and "hashpartitioning" not in text
+
+
+def test_fact_numbers_need_no_sort(spark, feed, store, monkeypatch):
+    """Numbers follow from runs of sale ids: of one load, of two, and sorted where they cannot."""
+    entities.load_dates(store, DAY)
+    sales.load_sales(feed, store, DAY)
+    text = plan(sales.numbered_fact(store, DEFAULT_PERIODS).rows)
+    assert "rangepartitioning" not in text and "Sort " not in text
+    other = store.read("ce_sales").limit(1).drop("sale_id", "date_id")
+    for first in (101, 107):  # two loads of six sales, three in each of two periods
+        ids = spark.range(first, first + 6).select(
+            F.col("id").alias("sale_id"), F.when(F.col("id") < first + 3, 4600).otherwise(4700).cast("bigint").alias("date_id"))
+        store.append("ce_sales", ids.crossJoin(other).coalesce(1))
+    assert [r for r in sales.sale_runs(store, DEFAULT_PERIODS) if r[0] != "2022_Q2"] == [
+        ("2022_Q3", 101, 103, 0), ("2022_Q3", 107, 109, 3), ("2022_Q4", 104, 106, 0), ("2022_Q4", 110, 112, 3)]
+    found = sales.numbered_fact(store, DEFAULT_PERIODS)
+    columns = ["sales_period", "sale_id", "sale_surr_id"]
+    by_runs = rows(found.rows, *columns)
+    assert [r[2] for r in by_runs if r[0] == "2022_Q4"] == [2, 3, 4, 5, 6, 7]
+    monkeypatch.setattr(sales, "sale_runs", lambda *_: None)
+    in_order = sales.numbered_fact(store, DEFAULT_PERIODS)
+    assert rows(in_order.rows, *columns) == by_runs and in_order.counts == found.counts
+
+
+def test_gaps_and_overlaps_are_no_runs(feed, store):
+    entities.load_dates(store, DAY)
+    sales.load_sales(feed, store, DAY)
+    whole = store.read("ce_sales")
+    assert sales.sale_runs(store, DEFAULT_PERIODS)
+    store.replace("ce_sales", whole.withColumn("sale_id", F.col("sale_id") * 2).coalesce(1))
+    assert sales.sale_runs(store, [Period("all", 1, 10**6)]) is None
