@@ -16,14 +16,15 @@ blocks, and vectors without near neighbours, for which no hash is selective, are
 **Ties and repeats.** Equal vectors are one entry with its ``k + 1`` smallest ids, which is all that any query can need;
 a query's result is worked out once per distinct vector. So a vector that fills a third of the table costs one entry.
 
-Scores are inner products of the original vectors in double precision. Vectors that are null, empty, zero, of another
-dimension than most, or hold null or non-finite components take no part, nor do rows with a null id; repeated rows count
-once; an empty table gives an empty result. Only the id and the vector column are read.
+Scores are inner products of the original vectors in double precision. Vectors of different dimensions have none, so
+each dimension is a table of its own. Vectors that are null, empty, zero, or hold null or non-finite components take no
+part, nor do rows with a null id; repeated rows count once; an empty table gives an empty result. Only the id and the vector column are read.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -119,9 +120,15 @@ def _compare(k: int):
             few = min(k, scores.shape[1])
             best = np.argpartition(-scores, few - 1, axis=1)[:, :few]
             value = np.take_along_axis(scores, best, axis=1)
-            # Entries as good as the last of the best are all kept, so ties are settled by id later.
+            # Of entries as good as the last of the best, those of least id are kept: an entry's id is its vector's
+            # least, so no other can be among the best.
             edge = value.min(axis=1)
             row, place = np.nonzero(scores >= np.maximum(edge, floor[at : at + 256])[:, None])
+            if len(row) > few * len(scores) or np.bincount(row, minlength=1).max(initial=0) > few:
+                order = np.lexsort((ids[place], -scores[row, place], row))
+                row, place = row[order], place[order]
+                kept = np.arange(len(row)) - np.searchsorted(row, row) < few
+                row, place = row[kept], place[kept]
             out.append(pd.DataFrame({"query": own[at + row], "tree": tree, "cand": ids[place],
                                      "score": scores[row, place], "lo": BITS, "hi": BITS}))
         ends = pd.DataFrame({"query": own, "tree": tree, "cand": pd.array([None] * len(own), "Int64"),
@@ -143,8 +150,8 @@ def _visit(index: DataFrame, visits: DataFrame, k: int, n_queries: int) -> DataF
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    """The k best distinct candidates of each query, and any that tie with the last."""
-    rank = F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))
+    """The k best distinct candidates of each query, ties by their least id."""
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "cand"))
     scores = found.groupBy("query", "cand").agg(F.max("score").alias("score"))
     return scores.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 
@@ -158,12 +165,16 @@ def nearest(
     rows = vectors.withColumn("_query", F.coalesce(is_query, F.lit(False))).select(
         F.col(id_col).cast("long").alias("_id"), F.col(vector_col).alias("vector"), "_query").filter(
         F.col("_id").isNotNull() & usable(F.col("vector")))
-    sizes = rows.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
+    dimensions = sorted(r["d"] for r in rows.select(F.size("vector").alias("d")).distinct().collect())
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if sizes is None:
-        return empty
-    rows = save(rows.filter(F.size("vector") == sizes["d"]).withColumn("vector", F.col("vector").cast("array<double>"))
-                .distinct(), "vectors")
+    found = [_nearest(rows.filter(F.size("vector") == d), d, k, trees, block_rows, miss) for d in dimensions]
+    return reduce(DataFrame.unionByName, found) if found else empty
+
+
+def _nearest(rows: DataFrame, dimension: int, k: int, trees: int, block_rows: int, miss: float) -> DataFrame:
+    """:func:`nearest` among usable vectors of one dimension: ``_id, vector, _query``."""
+    empty = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = save(rows.withColumn("vector", F.col("vector").cast("array<double>")).distinct(), "vectors")
     first = F.row_number().over(Window.partitionBy("vector").orderBy("_id"))
     classes = save(
         rows.withColumn("_place", first).filter(F.col("_place") <= k + 1).groupBy("vector")
@@ -174,7 +185,7 @@ def nearest(
         return empty
     longest = math.sqrt(classes.agg(F.max(F.aggregate(
         "vector", F.lit(0.0), lambda s, x: s + x * x))).first()[0])
-    hashed = save(_strings(classes, sizes["d"], longest, trees), "strings")
+    hashed = save(_strings(classes, dimension, longest, trees), "strings")
 
     entries = hashed.select("class_id", F.posexplode("entry_keys").alias("tree", "key"), F.lit(0).alias("asks"))
     queries = hashed.join(asked.select("class_id").distinct(), "class_id", "left_semi")

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +71,23 @@ def test_prefix_lengths():
     a = np.array([0, 1, 2**61, 2**62 - 1, 5 << 40], dtype=np.int64)
     b = np.array([0, 0, 0, 2**62 - 2, 4 << 40], dtype=np.int64)
     assert prefix_forest.common_prefix(a, b).tolist() == [62, 61, 0, 61, 21]
+
+
+def test_every_dimension_is_searched(spark):
+    draw = np.random.default_rng(4)
+    flat = [(i, [float(x) for x in draw.normal(size=8)]) for i in range(60)]
+    deep = [(i, [float(x) for x in draw.normal(size=5)]) for i in range(60, 200)]
+    assert search(spark, flat + deep, k=5) == {
+        q: [(i, pytest.approx(s, abs=1e-12)) for i, s in near] for part in (flat, deep) for q, near in brute(part, 5).items()}
+
+
+def test_many_ties_are_settled_by_id_within_a_bound(spark, monkeypatch):
+    """Sparse vectors, of which hundreds are equally near: each block hands on no more than it can need."""
+    rows = [(i, [1.0, float(i % 2), *[float(i // 2 == j) for j in range(320)]]) for i in range(640)]
+    table = pd.DataFrame({
+        "pos": range(640), "vec": [np.array(v).tobytes() for _, v in rows], "class_id": range(640), "key": 0})
+    asked = table.head(32).assign(floor=-np.inf, home=0, block=0, blocks=1, tree=0)
+    found = prefix_forest._compare(21)(table, asked).dropna(subset=["cand"])
+    assert found.groupby("query").size().max() == 21
+    near = search(spark, rows)
+    assert {q: [i for i, _ in n] for q, n in near.items()} == {q: [i for i, _ in n] for q, n in brute(rows).items()}
