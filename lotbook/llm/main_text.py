@@ -32,6 +32,8 @@ from lotbook.llm.text_arrays import numbered
 
 _NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _MARK = re.compile("[>\"']")
+#: A tag whose quotes match up and hold neither < nor >: all others take the longer way, with the same outcome for these.
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>")
 #: Elements whose content is no text of the page.
 SKIPPED = frozenset(
     "script style noscript template svg math iframe object textarea title select canvas audio video".split())
@@ -123,6 +125,16 @@ def tokens(html: str, skipped: frozenset[str] = SKIPPED) -> Iterator[tuple[int,
     last = {"'": html.rfind("'"), '"': html.rfind('"')}
     broken: set[int] = set()  # opening quotes from which the quotes do not match up
     while (start := html.find("<", at)) >= 0:
+        plain = _PLAIN.match(html, start)
+        if plain is not None:
+            slash, tag, attributes = plain.groups()
+            tag, at = tag.lower(), plain.end()
+            inner = at
+            if not slash and tag in skipped and not (tag in ("svg", "math") and attributes.endswith("/")):
+                end = _ENDS[tag].search(html, at)
+                at = end.end() if end else n
+            yield start, at, bool(slash), tag, attributes, inner
+            continue
         if html.startswith("<!--", start):
             stop = html.find("-->", start + 4)
             at = n if stop < 0 else stop + 3
@@ -158,7 +170,7 @@ def tokens(html: str, skipped: frozenset[str] = SKIPPED) -> Iterator[tuple[int,
         at, tag = stop + 1, name[2].lower()
         inner = at
         if not name[1] and tag in skipped and not (tag in ("svg", "math") and html.endswith("/", start, stop)):
-            end = _ENDS[tag].search(html, at) if tag in _ENDS else None
+            end = _ENDS[tag].search(html, at)
             at = end.end() if end else n
         yield start, at, bool(name[1]), tag, html[name.end() : stop], inner
 
@@ -239,7 +251,7 @@ def blocks(html: str) -> list[Block]:
             current.text = " ".join("".join(current.parts).split())
             if current.text:
                 found.append(current)
-        current = Block(top)
+            current = Block(top)
 
     def add(text: str) -> None:
         nonlocal current
@@ -264,7 +276,8 @@ def blocks(html: str) -> list[Block]:
                 return
 
     for start, stop, closing, tag, attributes, inner in tokens(html):
-        add(html[done:start])
+        if done < start:
+            add(html[done:start])
         done = stop
         if not tag or not closing and inner < stop:
             continue
@@ -304,7 +317,7 @@ def blocks(html: str) -> list[Block]:
                 counts[tag] = counts.get(tag, 0) + 1
                 links += tag == "a"
         if not inline:
-            current = Block(top)
+            current.element = top
     add(html[done:])
     flush()
     _released(found)
