@@ -87,6 +87,7 @@ _SALE_MEASURES = (
     "reduction_percent decimal(5,2), income decimal(12,2)"
 )
 
+# Fixed values, here and below: names, types, lengths and defaults of the declared tables' columns.
 ENTITIES = [
     _named("ce_countries", "country_id", "country_src_id", "country_name", unique_name=False),
     _level("ce_states", "state_id", "state_src_id", "ce_countries", "country_id", "state_name"),
