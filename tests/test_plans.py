@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lotbook.operators.periods import DEFAULT_PERIODS, Period, within_periods
 from lotbook.operators.surrogate import assign_surrogate
 from lotbook.plans import entities, sales
+from lotbook.sources.feeds import OFFLINE, judged_lines
 from tests import feeds
 from tests.conftest import rows
 
@@ -105,3 +106,9 @@ def test_gaps_and_overlaps_are_no_runs(feed, store):
     assert sales.sale_runs(store, DEFAULT_PERIODS)
     store.replace("ce_sales", whole.withColumn("sale_id", F.col("sale_id") * 2).coalesce(1))
     assert sales.sale_runs(store, [Period("all", 1, 10**6)]) is None
+
+
+def test_only_lines_with_a_quote_meet_the_quote_pattern(spark):
+    lines = spark.createDataFrame([(";".join("x" * len(OFFLINE.columns)),)], "value string")
+    text = plan(judged_lines(lines, OFFLINE))
+    assert "regexp_replace" in text and text.count("regexp_replace") == text.count("Contains(")
