@@ -169,6 +169,8 @@ def to_load(feed: DataFrame, store: Store, entity: Entity, known_rows: int | Non
     spec = TABLES[entity.table]
     parent_id = [TABLES[p.table].id_col for p in entity.parents[-1:]]
     rows = profile(feed, [*entity.inputs, *[c for c in parent_id if c in feed.columns]])
+    if known_rows is None:  # the feed itself: read once, and its rows are read more than once below
+        rows = save(with_parents(save(rows, "profile"), store, entity), "profile")
     rows = with_parents(rows, store, entity).withColumn("_key", entity.key())
     candidates = rows.filter(entity.qualifies()).select(
         "_key", *[value().alias(name) for name, value in entity.attributes.items()], *LINEAGE
@@ -225,7 +227,9 @@ def customer_snapshot(feed: DataFrame, store: Store, known_rows: int | None = No
 def load_customers(feed: DataFrame, store: Store, load_dt: dt.date) -> dict[str, int]:
     """Type-2 load of the customers; only the tracked attributes open a new version."""
     known = [c for c in ("address_id",) if c in feed.columns]
-    rows, count = save_counted(with_parents(profile(feed, [*CUSTOMERS.inputs, *known]), store, CUSTOMERS), "profile")
+    rows, count = save_counted(profile(feed, [*CUSTOMERS.inputs, *known]), "profile")
+    if not known:  # the lookups read the profile more than once
+        rows, count = save_counted(with_parents(rows, store, CUSTOMERS), "profile")
     snapshot = customer_snapshot(rows, store, count)
     return scd2_merge(store, CUSTOMERS.table, snapshot, load_dt, count)
 

@@ -112,3 +112,8 @@ def test_only_lines_with_a_quote_meet_the_quote_pattern(spark):
     lines = spark.createDataFrame([(";".join("x" * len(OFFLINE.columns)),)], "value string")
     text = plan(judged_lines(lines, OFFLINE))
     assert "regexp_replace" in text and text.count("regexp_replace") == text.count("Contains(")
+
+
+def test_conflicting_customers_read_the_feed_once(feed, store):
+    text = plan(entities.to_load(feed, store, entities.CUSTOMERS))
+    assert "customername" not in text and "customer_name_and_surname" not in text
