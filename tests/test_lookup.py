@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +126,16 @@ def test_one_pass_finds_the_hot_keys_of_all_lookups(spark, skewed):
     counts = wide.groupBy("k", "t").count().filter(F.col("count") > 6000 * lookup.HOT_SHARE).drop("count")
     assert rows(hot.get("both")[0], "k", "t") == rows(counts, "k", "t")
     assert rows(lookup.HotKeys(wide.limit(0), keysets).get("k")[0]) == []
+
+
+def test_text_keys_are_merged_by_a_hash_first(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    pairs = [("same beginning", "a"), ("same beginning", None), (None, None), ("same beginning", "b")]
+    left = spark.createDataFrame([(*pair, i) for i, pair in enumerate(pairs)], "x string, y string, v int")
+    right = spark.createDataFrame([(*pair, 10 * i) for i, pair in enumerate(pairs[:3])], "x string, y string, w int")
+    safe = lookup.lookup_join(left, right, ["x", "y"], null_safe=True, known_rows=3)
+    text = safe._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[(coalesce\()?_hash", text) and "_hash" not in safe.columns
+    assert rows(safe, "v", "w") == [(0, 0), (1, 10), (2, 20), (3, None)]
+    assert rows(lookup.lookup_join(left, right, ["x", "y"], known_rows=3), "v", "w") == [(0, 0), (1, None), (2, None), (3, None)]
+    assert rows(lookup.lookup_join(left, right, ["x", "y"], "left_anti", known_rows=3), "v") == [(1,), (2,), (3,)]
