@@ -266,3 +266,19 @@ def test_quality_checks_return_rows(spark):
     assert rows(quality.too_long(frame, "text", 2), "text") == [("abc",)]
     parent = spark.createDataFrame([(1,)], "key int")
     assert rows(quality.orphans(frame, "id", parent, "key"), "id") == [(2,)]
+
+
+def test_only_lookups_beyond_a_broadcast_are_sketched(spark, store, monkeypatch):
+    feed, asked = feeds.feed(spark, OFFLINE_ROWS, ONLINE_ROWS), []
+
+    class Listed(sales.HotKeys):
+        def __init__(self, rows, keysets, *options):
+            asked.append(set(keysets))
+            super().__init__(rows, keysets, *options)
+
+    monkeypatch.setattr(sales, "HotKeys", Listed)
+    sales.load_sales(feed, store, DAY1)
+    assert asked == [{"_sale"}]
+    monkeypatch.setattr("lotbook.operators.lookup.BROADCAST_ROWS", 0)
+    assert sales.load_sales(feed, store, DAY2) == {"Inserted": 0}
+    assert asked[1] >= {"_sale", "loaded", "customer"}
