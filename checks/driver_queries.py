@@ -76,7 +76,8 @@ def staged_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = new_folder(spark, "inbox")
         inbox = Inbox(spark, path, feed, new_folder(spark, "staged"))
         for drop, condition in enumerate((F.col("order_day") < F.lit(tf.CUT_DATE), F.col("order_day") >= F.lit(tf.CUT_DATE)), 1):
-            tf.as_text(rows.filter(condition).drop("order_day")).write.mode("append").text(path)
+            lines_of_drop = tf.as_text(rows.filter(condition).drop("order_day"))
+            lines_of_drop.write.mode("append").option("compression", "snappy").text(path)
             inbox.stage()
             new = inbox.waiting()
             found.append(conform(inbox.rows(new), feed).withColumn("drop", F.lit(drop).cast("long")))

@@ -121,3 +121,13 @@ def test_a_failed_run_stages_its_files_again(spark, tmp_path, monkeypatch):
             inbox.stage()
     assert inbox.waiting() == []
     assert len(inbox.stage()) == 1 and [r["id"] for r in inbox.rows(inbox.waiting()).collect()] == ["1"]
+
+
+def test_compressed_drops_are_staged(spark):
+    path, staged = new_folder(spark, "inbox"), new_folder(spark, "staged")
+    inbox = Inbox(spark, path, OFFLINE, staged)
+    for number in ("1", "2"):
+        spark.createDataFrame([(_line(id=number),), ("broken",)], "value string").write.mode("append").option(
+            "compression", "snappy").text(path)
+        inbox.stage()
+    assert rows(inbox.rows(), "id") == [("1",), ("2",)] and inbox.rejects().count() == 2
