@@ -28,6 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SPREAD_ROWS = 5_000_000  # tables up to this size are dealt to all cores first
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """Give small tables to all cores.
 
@@ -35,12 +38,27 @@ def spread(rows: DataFrame) -> DataFrame:
     million rows have enough row groups and are left as they are.
     """
     total = rows.count()  # from the file footer
-    if total > 5_000_000:
+    if total > SPREAD_ROWS:
         return rows
     tasks = min(rows.sparkSession.sparkContext.defaultParallelism, total // 25_000 + 1)
     return rows.repartition(tasks) if tasks > 1 else rows
 
 
+LINE_ROWS = 1_000_000  # lines that one task of the last join should hold at most
+
+
+def dealt_by_order(lines: DataFrame, total: int) -> DataFrame:
+    """Lines of a large table, dealt by their order over tasks whose number follows from the rows.
+
+    Left to itself, the engine packs lines of a few bytes into tasks of 64 MB, so that a task holds millions of them, and
+    what follows the join in the task, such as grouping, takes memory for all of them.
+    """
+    if total <= SPREAD_ROWS:
+        return lines
+    tasks = max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // LINE_ROWS + 1)
+    return lines.repartition(tasks, "l_orderkey")
+
+
 def _money(column: str) -> Column:
     return F.col(column).cast("decimal(12,2)").cast("string")
 
@@ -51,28 +69,33 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     def t(name):
         return table(spark, sf_dir, name)
 
-    # Region and nation are joined to the customers first, so the lines are joined once per dimension.
+    # Each join is made where its rows are fewest: what an order has is joined to it, and its date written, before the
+    # lines are; the lines have only a few columns when they are dealt by part, and are dealt by order last.
     customers = (
         t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    lines = (
-        spread(t("lineitem")).join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    )
     order, line, customer = F.col("l_orderkey"), F.col("l_linenumber"), F.col("c_custkey")
-    day = F.col("o_orderdate").cast("date")
+    number, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     sale_date = (
-        F.when(order % 97 == 0, F.concat(F.lit(" "), F.date_format(day, "yyyy-MM-dd")))
-        .when(order % 89 == 0, F.date_format(day, "MM/dd/yyyy"))
-        .when(order % 101 == 0, F.concat(F.date_format(day, "yyyy"), F.lit("-13-45")))
+        F.when(number % 97 == 0, F.concat(F.lit(" "), F.date_format(day, "yyyy-MM-dd")))
+        .when(number % 89 == 0, F.date_format(day, "MM/dd/yyyy"))
+        .when(number % 101 == 0, F.concat(F.date_format(day, "yyyy"), F.lit("-13-45")))
         .otherwise(F.date_format(day, "yyyy-MM-dd"))
     )
+    orders = t("orders").join(customers, F.col("o_custkey") == customer).select(
+        "*", sale_date.alias("sale_date"), day.alias("order_day"))
+    items = t("lineitem")
+    total = items.count()  # from the file footer
+    lines = (
+        dealt_by_order(
+            spread(items).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")), total)
+        .join(orders, order == number)
+    )
     return lines.select(
         F.concat(order.cast("string"), F.lit("-"), line.cast("string")).alias("id"),
-        sale_date.alias("sale_date"),
+        "sale_date",
         F.replace(F.col("p_name"), F.lit(" "), F.lit("")).alias("employee_id"),
         F.col("p_name").alias("employee_name"),
         F.concat(F.col("c_name"), F.lit(" "), F.col("c_mktsegment")).alias("customer_name"),
@@ -101,7 +124,7 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("channel"),
         F.col("s_name").alias("dealer"),
         F.col("l_returnflag").alias("return_flag"),
-        day.alias("order_day"),
+        "order_day",
     )
 
 

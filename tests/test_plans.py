@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import tpch_feed
 from lotbook.operators.periods import DEFAULT_PERIODS, Period, within_periods
 from lotbook.operators.surrogate import assign_surrogate
 from lotbook.plans import entities, sales
@@ -117,3 +118,23 @@ def test_only_lines_with_a_quote_meet_the_quote_pattern(spark):
 def test_conflicting_customers_read_the_feed_once(feed, store):
     text = plan(entities.to_load(feed, store, entities.CUSTOMERS))
     assert "customername" not in text and "customer_name_and_surname" not in text
+
+
+def test_lines_of_a_large_table_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    """The tasks of the last join, and of what follows it, hold no more lines of a larger table."""
+    tables = {
+        "region": "0 r_regionkey, 'R' r_name", "nation": "0 n_nationkey, 'N' n_name, 0 n_regionkey",
+        "customer": "id c_custkey, 'C' c_name, 0 c_nationkey, 'S' c_mktsegment",
+        "supplier": "id s_suppkey, 'S' s_name", "part": "id p_partkey, 'P q' p_name, 'B' p_brand, 'T' p_type, 1 p_size",
+        "orders": "id o_orderkey, id % 9 o_custkey, 'O' o_orderstatus, '1' o_orderpriority, timestamp_ntz'2000-01-01' o_orderdate",
+        "lineitem": "id % 500 l_orderkey, id % 7 l_partkey, id % 5 l_suppkey, 1 l_linenumber, 1.5D l_extendedprice, "
+                    "0.1D l_discount, 0.1D l_tax, 'A' l_returnflag",
+    }
+    for name, columns in tables.items():
+        n = 1 if name in ("region", "nation") else 1000
+        spark.range(n).selectExpr(*columns.split(", ")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(tpch_feed, "SPREAD_ROWS", 10, raising=False)
+    monkeypatch.setattr(tpch_feed, "LINE_ROWS", 50, raising=False)
+    lines = tpch_feed.sale_lines(spark, str(tmp_path))
+    sizes = [r["count"] for r in lines.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) > 10 and max(sizes) < 200
