@@ -139,3 +139,20 @@ def test_text_keys_are_merged_by_a_hash_first(spark, monkeypatch):
     assert rows(safe, "v", "w") == [(0, 0), (1, 10), (2, 20), (3, None)]
     assert rows(lookup.lookup_join(left, right, ["x", "y"], known_rows=3), "v", "w") == [(0, 0), (1, None), (2, None), (3, None)]
     assert rows(lookup.lookup_join(left, right, ["x", "y"], "left_anti", known_rows=3), "v") == [(1,), (2,), (3,)]
+
+
+@pytest.mark.parametrize("shared_are_few", [True, False])
+@pytest.mark.parametrize("limit", [0, 100])
+def test_anti_join_by_its_rare_keys_equals_a_plain_one(spark, monkeypatch, shared_are_few, limit):
+    """Keys that repeat on either side or hold a NULL; wide rows are only shuffled beyond the limit."""
+    left = spark.createDataFrame(
+        [("a", "x", 1), ("a", "x", 1), ("a", None, 2), ("b", "x", 3), (None, None, 4), ("c", "y", 5)], "k string, l string, v int")
+    right = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), (None, None), ("c", "z")], "k string, l string")
+    expected = rows(left.join(right, ["k", "l"], "left_anti"))
+    assert len(expected) == 4
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
+    hot = lookup.HotKeys(left, {"keys": ["k", "l"]})
+    found = lookup.anti_join(left, right, ["k", "l"], shared_are_few=shared_are_few, hot=(hot, "keys"))
+    assert rows(found) == expected
+    assert ("SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()) == (limit == 0)
+    assert ("keys" in hot.keysets) == (limit == 0)
