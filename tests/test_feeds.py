@@ -1,8 +1,12 @@
+import os
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from lotbook.sources.feeds import CANONICAL, OFFLINE, ONLINE, conform, csv_rejects, read_csv, stage
 from lotbook.sources.inbox import Inbox
-from lotbook.sources.scratch import new_folder, save_counted, scratch_root
+from lotbook.sources.scratch import CLEANUP, discard, new_folder, passing, save, save_counted, scratch_root
 from tests import feeds
 from tests.conftest import rows
 
@@ -131,3 +135,40 @@ def test_compressed_drops_are_staged(spark):
             "compression", "snappy").text(path)
         inbox.stage()
     assert rows(inbox.rows(), "id") == [("1",), ("2",)] and inbox.rejects().count() == 2
+
+
+def _shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_lean_saves_leave_no_shuffle_files_behind(spark):
+    setting, before = spark.conf.get(CLEANUP), _shuffle_files(spark)
+    kept, n = save_counted(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "t", lean=True)
+    for _ in range(50):  # they are removed in the background
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    left = _shuffle_files(spark) - before
+    assert not left and n == kept.count() == 7
+    assert spark.conf.get(CLEANUP) == setting
+
+
+def test_lean_saves_go_when_told_or_with_their_block(spark):
+    def there(files):
+        return [os.path.exists(f.removeprefix("file://")) for f in files]
+
+    rows = spark.range(9)
+    with passing(spark):
+        outer = save(rows, "t", lean=True).inputFiles()
+        with passing(spark):
+            inner, other = save(rows, "t", lean=True).inputFiles(), save(rows, "t").inputFiles()
+        assert all(there(outer)) and all(there(other)) and not any(there(inner))
+    assert not any(there(outer))
+    single = save(rows, "t", lean=True)
+    files = single.inputFiles()
+    assert all(there(files))
+    discard(single)
+    discard(single)
+    assert not any(there(files))

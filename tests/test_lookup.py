@@ -156,3 +156,29 @@ def test_anti_join_by_its_rare_keys_equals_a_plain_one(spark, monkeypatch, share
     assert rows(found) == expected
     assert ("SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()) == (limit == 0)
     assert ("keys" in hot.keysets) == (limit == 0)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_copies_of_a_hot_key_may_be_left_out(spark, members, how):
+    """A binary key, as a digest is; a hot key's copies leave as one row, and other rows as they came."""
+    pairs = spark.range(6000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).cast("bigint").alias("n"))
+    left = pairs.select(F.unhex(F.md5(F.col("n").cast("string"))).alias("k"), "n")
+    right = members.filter("k IS NOT NULL").distinct().groupBy("k").agg(F.max("m").alias("m")).select(
+        F.unhex(F.md5(F.col("k").cast("string"))).alias("k"), "m")
+    plain = lookup.lookup_join(left, right, ["k"], how)
+    few = lookup.lookup_join(left, right, ["k"], how, limit=0, distinct=True)
+    assert rows(lookup.hot_keys(left, ["k"])) == [r for r in rows(left.filter("n = 7").select("k").distinct())]
+    assert few.filter("n = 7").count() == 1 and few.filter("n <> 7").count() == plain.filter("n <> 7").count()
+    assert rows(few.distinct(), *plain.columns) == rows(plain.distinct())
+
+
+def test_a_shuffled_anti_join_stays_behind_the_lookups(spark, monkeypatch):
+    """Only the rare keys are joined, and narrow rows are shuffled: lookups made before are worked out before."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 2)
+    left = spark.range(100).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("t"), F.col("id") % 2).alias("t"))
+    small = spark.createDataFrame([("t0", 0), ("t1", 1)], "t string, v int")
+    narrow = lookup.lookup_join(left, small, ["t"], known_rows=2).drop("t")
+    found = lookup.anti_join(narrow, spark.range(90).select(F.col("id").cast("string").alias("k")), ["k"], shared_are_few=True)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found, "k", "v") == [(str(i), i % 2) for i in range(90, 100)]
+    assert text.index("_found") < text.index("strategy=broadcast")

@@ -75,3 +75,19 @@ def test_costly_rows_are_worked_out_once(spark, monkeypatch):
     numbered = assign_surrogate(spark.range(500).mapInArrow(count, "id long"), "n", ["id"], once=True)
     assert sorted(tuple(r) for r in numbered.rows.select("id", "n").collect()) == [(i, i + 1) for i in range(500)]
     assert made.value == 500 and numbered.total == 500
+
+
+def test_equal_rows_are_numbered_as_one_without_another_shuffle(frame, monkeypatch):
+    monkeypatch.setattr(surrogate, "ONE_TASK_ROWS", 10)
+    plans, save = [], surrogate.save
+
+    def kept(rows, label, *options):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return save(rows, label, *options)
+
+    monkeypatch.setattr(surrogate, "save", kept)
+    twice = frame.union(frame.filter("kind = 'mid'"))
+    numbered = assign_surrogate(twice, "n", ["key"], start=5, once=True, distinct=True, lean=True)
+    assert numbered.total == 5000 and plans[0].count("Exchange ") == 1 and "rangepartitioning" in plans[0]
+    expected = frame.select("key", "kind", (F.row_number().over(Window.orderBy("key")) + 4).alias("n"))
+    assert rows(numbered.rows, "key", "kind", "n") == rows(expected)

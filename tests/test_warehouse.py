@@ -1,5 +1,7 @@
 import datetime as dt
+import os
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,6 +186,31 @@ def test_sales_with_sliced_joins_are_the_same(spark, store, monkeypatch):
     assert rows(sales.sales_to_load(feed, store)) == expected
 
 
+def test_sales_loads_leave_no_intermediates(spark, monkeypatch):
+    """Loads by broadcasts and by shuffles number the same rows, and what they wrote on the way is gone."""
+    feed, found = feeds.feed(spark, OFFLINE_ROWS * 3, ONLINE_ROWS * 2), []
+    for limit in (100_000, 0):
+        store = Store.temporary(spark)
+        entities.load_customers(feed, store, DAY1)
+        monkeypatch.setattr("lotbook.operators.lookup.BROADCAST_ROWS", limit)
+        here = Path(store.root.removeprefix("file:")).parent
+        before = set(os.listdir(here))
+        assert sales.load_sales(feed, store, DAY1) == {"Inserted": 8} and sales.load_sales(feed, store, DAY2) == {"Inserted": 0}
+        assert set(os.listdir(here)) == before
+        found.append(rows(store.read("ce_sales")))
+        assert {r[3] for r in found[-1]} == {-1, 1, 2}
+    assert found[0] == found[1]
+
+
+def test_customer_paths_are_told_apart(spark):
+    """NULL, an empty text and a text like the mark of NULL; texts that run into the next column."""
+    texts = [None, "", "-", "1:a", "a", "é", "a-"]
+    n = len(sales.CUSTOMER_PATH) - 2
+    data = [(one, other, *["x"] * n) for one in texts for other in texts]
+    paths = spark.createDataFrame(data, ", ".join(f"{c} string" for c in sales.CUSTOMER_PATH))
+    assert paths.select(sales.path_mark()).distinct().count() == len(data) == 49
+
+
 def test_fact_period_is_replaced_or_emptied(spark, store):
     feed = feeds.feed(spark, ({}, {"id": "101", "date": "2022-12-24"}), ())
     entities.load_dates(store, DAY1)
